@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, packing, token_counts
+from . import bpe_codec, packing, quality, secrets, simhash, substring_dedup, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
+        "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+        "op4_secret_scan": secrets.op4_secret_scan,
+        "op5_quality_rules": quality.op5_quality_rules,
         "op7_packing": packing.op7_packing,
+        "op8_simhash": simhash.op8_simhash,
         "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": quality.ORACLE_SQL}
