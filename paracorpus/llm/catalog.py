@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, packing, quality, secrets, simhash, substring_dedup, token_counts
+from . import bpe_codec, packing, quality, secrets, simhash, substring_dedup, suffix_dedup, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
+        "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
         "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_quality_rules": quality.op5_quality_rules,
