@@ -20,7 +20,7 @@ import regex
 
 END = "Ā"
 #: Entries of each cache of a worker before it is emptied, which bounds its memory.
-CACHE = 600_000
+CACHE = 1_500_000
 #: White space of the tokenizers' patterns (Unicode White_Space); ``str.split`` also takes U+001C..U+001F.
 WHITE = "\t-\r \x85\xa0  -     　"
 #: The pre-tokenizing patterns of the two vocabulary files.
@@ -108,6 +108,12 @@ def hashed(words: list[str]) -> np.ndarray:
     return out
 
 
+def _id_bytes(tokens: np.ndarray, count: np.ndarray) -> list[bytes]:
+    """The first ``count`` tokens of each row as little-endian unsigned 32-bit bytes."""
+    held, width = tokens.astype("<u4").tobytes(), 4 * tokens.shape[1]
+    return [held[a : a + 4 * n] for a, n in zip(range(0, len(held), width), count.tolist(), strict=True)] if width else [b""] * len(tokens)
+
+
 class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -283,9 +289,9 @@ class Bpe:
             rows = rows[at[rows] < sizes[rows]]
         return out, count
 
-    def merge_many(self, words: list[str]) -> list[list[int]]:
-        """``exact`` for many words: all rows of a matrix take their lowest-ranked merge in step."""
-        out: list[list[int]] = [[]] * len(words)
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """``exact`` for many words, as bytes: all rows of a matrix take their lowest-ranked merge in step."""
+        out: list[bytes] = [b""] * len(words)
         texts = [w[:-1] if w.endswith(END) else w for w in words]
         codes, sizes = _codes(texts)
         ends = np.array([w.endswith(END) for w in words])
@@ -304,8 +310,8 @@ class Bpe:
             best = rank.argmin(1) if rank.shape[1] else np.zeros(len(ids), np.int64)
             low = rank[np.arange(len(ids)), best] if rank.shape[1] else np.full(len(ids), BIG)
             done = low >= BIG
-            for r, x in zip(rows[done].tolist(), ids[done].tolist(), strict=True):
-                out[r] = [t for t in x if t >= 0]
+            for r, x in zip(rows[done].tolist(), _id_bytes(ids[done], (ids[done] >= 0).sum(1)), strict=True):
+                out[r] = x
             if done.all():
                 return out
             ids, rank, rows, best, low = ids[~done], rank[~done], rows[~done], best[~done, None], low[~done]
@@ -322,12 +328,12 @@ class Bpe:
                 x = np.flatnonzero(at < len(cols))
                 rank[x, at[x]] = ranks(new[x], ids[x, at[x] + 1])
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Encodings of many words: greedy proposals, all adjacent pairs checked at once, failing words merged."""
-        out: list[list[int]] = [[]] * len(words)
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Encodings of many words, as bytes: greedy proposals, all adjacent pairs checked at once, failing words merged."""
+        out: list[bytes] = [b""] * len(words)
         wide = [i for i, w in enumerate(words) if len(w) > WIDE]
         for i in wide:
-            out[i] = self.exact(words[i])
+            out[i] = np.array(self.exact(words[i]), "<u4").tobytes()
         at = [i for i, w in enumerate(words) if 0 < len(w) <= WIDE]
         if not at:
             return out
@@ -340,8 +346,8 @@ class Bpe:
         failed = np.zeros(pairs.shape, bool)
         failed[pairs] = ~self.compatible_many(keys)
         bad |= failed.any(1)
-        for i, n, x in zip(at, count.tolist(), tokens.tolist(), strict=True):
-            out[i] = x[:n]
+        for i, x in zip(at, _id_bytes(tokens, count), strict=True):
+            out[i] = x
         again = np.flatnonzero(bad).tolist()
         for i, x in zip(again, self.merge_many([some[i] for i in again]) if again else [], strict=True):
             out[at[i]] = x
@@ -500,24 +506,30 @@ class WordCodec:
         if len(self.words) > CACHE:
             self.words.clear()
         missing = set().union(*chunk_lists).difference(self.chunks)
-        split = {}
+        single: dict[str, str] = {}
+        ended: dict[str, tuple[str, str]] = {}
+        other: dict[str, list[str]] = {}
         for c in missing:
-            if c.isascii():
+            if c.isascii() or max(c) < "\u0300":  # below U+0300 text is its own NFC form
                 low = c.lower()
                 if low.isalpha():
-                    split[c] = [low]
+                    single[c] = low
                     continue
                 if low[-1] in ".," and low[:-1].isalpha():
-                    split[c] = [low[:-1], low[-1]]
+                    ended[c] = (low[:-1], low[-1])
                     continue
-            split[c] = [] if c in self.special else self.normal(c)
-        words = list({w for ws in split.values() for w in ws}.difference(self.words))
-        coded = self.bpe.encode_words([w.encode("utf-8", "replace").decode("latin-1") + END for w in words])
-        for w, ids in zip(words, coded, strict=True):
-            self.words[w] = np.array(ids, "<u4").tobytes()
+            other[c] = [] if c in self.special else self.normal(c)
+        words = set(single.values())
+        words.update(w for w, _ in ended.values())
+        words.update(p for _, p in ended.values())
+        words.update(w for ws in other.values() for w in ws)
+        new = list(words.difference(self.words))
+        self.words.update(zip(new, self.bpe.encode_words([w.encode("utf-8", "replace").decode("latin-1") + END for w in new]), strict=True))
         get = self.words.__getitem__
-        for c, ws in split.items():
-            self.chunks[c] = self.special[c] if c in self.special else get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws))
+        self.chunks.update(zip(single, map(get, single.values()), strict=True))
+        self.chunks.update((c, get(w) + get(p)) for c, (w, p) in ended.items())
+        for c, ws in other.items():
+            self.chunks[c] = self.special[c] if c in self.special else b"".join(map(get, ws))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
