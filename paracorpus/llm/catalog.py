@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, packing, quality, secrets, simhash, substring_dedup, suffix_dedup, token_counts
+from . import bpe_codec, nn_descent, packing, quality, secrets, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -12,9 +12,11 @@ def queries() -> dict:
         "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_quality_rules": quality.op5_quality_rules,
+        "op6_nn_descent": nn_descent.op6_nn_descent,
         "op7_packing": packing.op7_packing,
         "op8_simhash": simhash.op8_simhash,
         "op9_bpe_codec": bpe_codec.op9_bpe_codec,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 

@@ -178,5 +178,21 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     return repeats.with_spans(repeats.plain(docs), spans).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+def clean(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text``; what is left of a character cut in two goes too."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [_cut(t or "", ss, es)[1].decode(errors="ignore") if ss else t for t, ss, es in zip(*(c.to_pylist() for c in batch.columns[-3:]), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc", "text"])
+
+    spans = repeated_spans(docs, window, gram)
+    per = spans.groupBy("doc_id").agg(F.collect_list("s").alias("_ss"), F.collect_list("e").alias("_es")).withColumnRenamed("doc_id", "_key")
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
+    held = docs.select(F.col("doc_id").alias("_key"), rest, F.col("text").cast("string").alias("text")).join(per.hint("shuffle_merge"), "_key", "left").select("doc", "text", "_ss", "_es")
+    done = held.mapInArrow(run, held.select("doc", "text").schema)
+    return done.select(*[F.col("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
