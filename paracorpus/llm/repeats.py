@@ -25,7 +25,7 @@ _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x100000001B3
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of a text that are scanned at once; longer ones are scanned in overlapping pieces.
-_PIECE = 4_000_000
+_PIECE = 1_000_000
 
 _powers: dict[int, np.ndarray] = {}
 

@@ -25,7 +25,7 @@ from .suffix_merge import LoserTree, common_suffix, front_code
 
 WINDOW, GRAM = 400, 64
 #: Bytes of strings that a task sorts into one set of runs.
-RUN_BYTES = 24_000_000
+RUN_BYTES = 8_000_000
 #: Up to so many strings of one gram are compared pair by pair, more by offsets.
 FEW = 12
 RUN = "bucket int, shared array<int>, rest array<binary>, left array<binary>, owners array<int>, docs array<long>, starts array<long>"
