@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import text_queries  # noqa: F401
+from .plans import pair_queries, text_queries  # noqa: F401
 from .plans.registry import ORACLE, QUERIES
 
 
