@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from .common import parts, slabs, stash, text_or_empty
 
 RECORD = "h long, doc_id long, start long, n int, back int"
-#: A gram with more records than this is not grouped in one task; its windows are counted one by one, by digest.
-HOT = 1000
 #: Records a bucket; the number of buckets follows the input.
 A_BUCKET = 20_000
 _PLACE = np.uint64((1 << 24) - 1)
@@ -137,11 +135,12 @@ def records(docs: DataFrame, units, window: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, RECORD)
 
 
-def repeated(docs: DataFrame, units, window: int, gram: int, across: bool):
-    """The records whose gram repeats (in another document, if ``across``) with a ``hot`` mark, and the bucket count."""
+def repeated(docs: DataFrame, units, window: int, gram: int, across: bool, hot: int):
+    """The records whose gram repeats (in another document, if ``across``), marked ``hot`` if it has more than
+    ``hot`` records, too many for one task; and the bucket count."""
     all_records = stash(records(docs.where("doc_id is not null"), units, window, gram), "records")
     counts = all_records.groupBy("h").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    again = counts.where("lo < hi" if across else "c > 1").select("h", (F.col("c") > HOT).alias("hot"))
+    again = counts.where("lo < hi" if across else "c > 1").select("h", (F.col("c") > hot).alias("hot"))
     found = stash(all_records.join(again, "h"), "repeated")
     return found, max(parts(docs.sparkSession), all_records.count() // A_BUCKET + 1)
 
@@ -168,24 +167,55 @@ def merged(starts: list, ends: list) -> list[tuple[int, int]]:
     return out
 
 
-def windows_by_digest(texts: DataFrame, cut, window: int, across: bool) -> DataFrame:
-    """SPAN rows of repeated windows of hot grams: every window is counted by the digest of its content.
+def windows_by_digest(texts: DataFrame, pack, windows, window: int, across: bool) -> DataFrame:
+    """SPAN rows of repeated windows of hot grams, counted by the digest of their content.
 
-    cut(text) gives a function from a window's place to its bytes."""
+    pack(text) gives a function from a record's start and number of windows to its packed units, and
+    windows(packed) its windows.  Records are first counted by the digest of the whole, so copies of a
+    passage are one row before any window is looked at; windows of distinct records are then counted,
+    both with map-side combination, and every record takes back one list."""
     import hashlib
 
-    def run(batches):
+    def records_of(batches):
         for batch in batches:
+            out, size = [], 0
             for doc, text, recs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = cut(text.encode())
-                places = [p for r in recs for p in range(r["start"], r["start"] + r["n"])]
-                for i in range(0, len(places), 20_000):
-                    some = places[i : i + 20_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([doc] * len(some), pa.int64()), pa.array(some, pa.int64()), pa.array([hashlib.md5(at(p)).digest() for p in some], pa.binary())], ["doc_id", "p", "digest"])
-
-    each = texts.mapInArrow(run, "doc_id long, p long, digest binary")
-    counts = each.groupBy("digest").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo")).where("c > 1")
-    return each.join(counts, "digest").where("lo < doc_id" if across else "c > 1").select("doc_id", F.col("p").alias("s"), (F.col("p") + window).alias("e"))
+                cut = pack(text.encode())
+                for r in recs:
+                    packed = cut(r["start"], r["n"])
+                    out.append((hashlib.md5(packed).digest(), doc, r["start"], packed))
+                    size += len(packed)
+                if size > 4_000_000:
+                    yield batch_of(out)
+                    out, size = [], 0
+            yield batch_of(out)
+
+    def batch_of(out):
+        columns = list(zip(*out, strict=True)) if out else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["whole", "doc_id", "start", "packed"])
+
+    def windows_of(batches):
+        for batch in batches:
+            for whole, lo, c, packed in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                held = [hashlib.md5(w).digest() for w in windows(packed)]
+                n = len(held)
+                yield pa.RecordBatch.from_arrays([pa.array([whole] * n, pa.binary()), pa.array(range(n), pa.int32()), pa.array(held, pa.binary()), pa.array([lo] * n, pa.int64()), pa.array([c] * n, pa.int64())], ["whole", "j", "digest", "lo", "c"])
+
+    def spans_of(batches):
+        for batch in batches:
+            out = []
+            for doc, start, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = [start + x["j"] for x in found if (x["lo"] < doc if across else x["c"] > 1)]
+                out += [(doc, s, e) for s, e in merged(at, [p + window for p in at])]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "s", "e"])
+
+    each = stash(texts.mapInArrow(records_of, "whole binary, doc_id long, start long, packed binary"), "hot")
+    distinct = each.groupBy("whole").agg(F.min("doc_id").alias("lo"), F.count("*").alias("c"), F.first("packed").alias("packed"))
+    window_rows = stash(distinct.mapInArrow(windows_of, "whole binary, j int, digest binary, lo long, c long"), "hot-windows")
+    counts = window_rows.groupBy("digest").agg(F.min("lo").alias("lo"), F.sum("c").alias("c"))
+    per = window_rows.select("whole", "j", "digest").join(counts, "digest").groupBy("whole").agg(F.collect_list(F.struct("j", "lo", "c")).alias("found"))
+    return each.select("whole", "doc_id", "start").join(per, "whole").select("doc_id", "start", "found").mapInArrow(spans_of, "doc_id long, s long, e long")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

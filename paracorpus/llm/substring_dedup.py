@@ -23,13 +23,26 @@ from .common import documents
 from . import repeats
 
 WINDOW, GRAM = 50, 12
+#: Records of one minimiser that one task may sort; the windows of larger groups are counted by digest.
+HOT = 5000
 SPANS = "doc_id long, s long, e long"
 PACKED = "bucket int, h long, doc_id long, start long, n int, packed binary"
 
 
-def _window_at(blob: bytes, window: int):
-    words = blob.split()
-    return lambda p: b" ".join(words[p : p + window])
+def _packer(window: int):
+    def pack(blob: bytes):
+        words = blob.split()
+        return lambda start, n: b" ".join(words[start : start + n + window - 1])
+
+    return pack
+
+
+def _windows(window: int):
+    def windows(packed: bytes) -> list[bytes]:
+        words = packed.split()
+        return [b" ".join(words[j : j + window]) for j in range(len(words) - window + 1)]
+
+    return windows
 
 
 def _pack(window: int, buckets: int):
@@ -120,14 +133,14 @@ def _spans(out):
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, s, e) word spans covered by windows that start in a document with a smaller doc_id; may overlap."""
     docs = repeats.plain(docs)
-    found, buckets = repeats.repeated(docs, repeats.word_units, window, gram, across=True)
+    found, buckets = repeats.repeated(docs, repeats.word_units, window, gram, across=True, hot=HOT)
     cold = repeats.with_texts(docs, found.where("not hot"))
     packed = cold.mapInArrow(_pack(window, buckets), PACKED)
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("h")
     spans = dealt.mapInArrow(_bucket(window), SPANS)
     if found.where("hot").limit(1).count():
         hot = repeats.with_texts(docs, found.where("hot"))
-        spans = spans.unionByName(repeats.windows_by_digest(hot, lambda b: _window_at(b, window), window, True))
+        spans = spans.unionByName(repeats.windows_by_digest(hot, _packer(window), _windows(window), window, True))
     return spans
 
 

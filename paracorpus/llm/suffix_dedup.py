@@ -28,6 +28,8 @@ WINDOW, GRAM = 400, 64
 RUN_BYTES = 8_000_000
 #: Up to so many strings of one gram are compared pair by pair, more by offsets.
 FEW = 12
+#: Records of one gram that one task may merge; the windows of larger groups are counted by digest.
+HOT = 20_000
 RUN = "bucket int, shared array<int>, rest array<binary>, left array<binary>, owners array<int>, docs array<long>, starts array<long>"
 _RUN_KINDS = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 SPANS = "doc_id long, s long, e long"
@@ -140,13 +142,15 @@ def _merge(window: int, gram: int):
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, s, e) byte spans covered by windows that start in more than one place; may overlap."""
     docs = repeats.plain(docs)
-    found, buckets = repeats.repeated(docs, repeats.byte_units, window, gram, across=False)
+    found, buckets = repeats.repeated(docs, repeats.byte_units, window, gram, across=False, hot=HOT)
     cold = repeats.with_texts(docs, found.where("not hot"))
     runs = cold.mapInArrow(_sort(window, buckets), RUN)
     spans = runs.groupBy("bucket").applyInArrow(_merge(window, gram), SPANS)
     if found.where("hot").limit(1).count():
         hot = repeats.with_texts(docs, found.where("hot"))
-        spans = spans.unionByName(repeats.windows_by_digest(hot, lambda b: lambda p: b[p : p + window], window, False))
+        pack = lambda blob: lambda start, n: blob[start : start + n + window - 1]
+        windows = lambda packed: [packed[j : j + window] for j in range(len(packed) - window + 1)]
+        spans = spans.unionByName(repeats.windows_by_digest(hot, pack, windows, window, False))
     return spans
 
 
