@@ -146,7 +146,7 @@ def test_stage_runner(spark, tmp_path):
     docs = spark.createDataFrame([(0, "src", text), (0, "tgt", text.replace("。", "。 ").replace("！", "！ "))], "doc long, side string, text string")
     config = stages.CorpusConfig(out=str(tmp_path / "c"))
     got = stages.run(spark, docs, config).orderBy("pair_id").collect()
-    assert [(r.han_sentence, r.viet_sentence) for r in got] == [(s, s) for s in ("甲子年。", "乙丑月！", "丙寅日？")]
+    assert [(r.han_sentence, r.viet_sentence) for r in got] == [("甲子年。", "甲子年。"), ("乙丑月!", "乙丑月！"), ("丙寅日?", "丙寅日？")]
     assert stages.Manifest(spark, config.base).done("export")
     assert stages.run(spark, docs, config, "resume").count() == 3
     assert stages.CorpusConfig.from_env({"CORPUS_SUBSET": "2", "CORPUS_SUBSET_OFFSET": "1"}).base == "corpus-out_sub2_off1"
