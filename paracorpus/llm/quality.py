@@ -39,11 +39,11 @@ class Rule:
 
 #: Ratios are by word unless named otherwise.  Shortness alone never fails here: few words make ratios coarse.
 RULES = (
-    Rule("mean_word_length", "word_chars / n_words", 2.0, 12.0),
-    Rule("symbols", "n_symbols / n_words", 0.0, 0.1),
-    Rule("exclamations", "n_exclaims / n_words", 0.0, 0.3),
-    Rule("alphabetic_words", "1.0 - n_unlettered / n_words", 0.6, 1.0),
-    Rule("stop_words", "n_stop / n_words", 0.04, 1.0),
+    Rule("mean_word_length", "word_chars / greatest(n_words, 1)", 2.0, 12.0),
+    Rule("symbols", "n_symbols / greatest(n_words, 1)", 0.0, 0.1),
+    Rule("exclamations", "n_exclaims / greatest(n_words, 1)", 0.0, 0.3),
+    Rule("alphabetic_words", "1.0 - n_unlettered / greatest(n_words, 1)", 0.6, 1.0),
+    Rule("stop_words", "n_stop / greatest(n_words, 1)", 0.04, 1.0),
     Rule("capitals", "n_upper / greatest(word_chars, 1)", 0.0, 0.4),
     Rule("duplicate_lines", "n_dup_lines / greatest(n_lines, 1)", 0.0, 0.5),
 )
