@@ -210,9 +210,10 @@ def windows_by_digest(texts: DataFrame, pack, windows, window: int, across: bool
             columns = list(zip(*out, strict=True)) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "s", "e"])
 
-    each = stash(texts.mapInArrow(records_of, "whole binary, doc_id long, start long, packed binary"), "hot")
+    # left lazy: in one plan with the other records, the exchange of the texts is made once and reused
+    each = texts.mapInArrow(records_of, "whole binary, doc_id long, start long, packed binary")
     distinct = each.groupBy("whole").agg(F.min("doc_id").alias("lo"), F.count("*").alias("c"), F.first("packed").alias("packed"))
-    window_rows = stash(distinct.mapInArrow(windows_of, "whole binary, j int, digest binary, lo long, c long"), "hot-windows")
+    window_rows = distinct.mapInArrow(windows_of, "whole binary, j int, digest binary, lo long, c long")
     counts = window_rows.groupBy("digest").agg(F.min("lo").alias("lo"), F.sum("c").alias("c"))
     per = window_rows.select("whole", "j", "digest").join(counts, "digest").groupBy("whole").agg(F.collect_list(F.struct("j", "lo", "c")).alias("found"))
     return each.select("whole", "doc_id", "start").join(per, "whole").select("doc_id", "start", "found").mapInArrow(spans_of, "doc_id long, s long, e long")
