@@ -15,6 +15,17 @@ from .registry import query, table
 WS = T.RE2_WS
 
 
+def _one_row(*frames):
+    """One-row frames side by side: their columns are stacked and each takes its only value."""
+    names = [c for f in frames for c in f.columns]
+    kinds = {x.name: x.dataType for f in frames for x in f.schema}
+    rows = [f.select(*[F.col(c) if c in f.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names]) for f in frames]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.agg(*[F.max(c).alias(c) for c in names])
+
+
 def embeddings(spark, sf_dir):
     """(side, idx, embedding): even rows are the source side, odd rows the target side."""
     e = table(spark, sf_dir, "embeddings")
@@ -106,7 +117,7 @@ def precision_at_1(spark, sf_dir):
     s, t = side(spark, sf_dir, "src"), side(spark, sf_dir, "tgt")
     best = align.top_k(s, t, 1).agg(F.count("*").alias("n_pairs"), F.round(F.avg((F.col("idx") == F.col("tgt_idx")).cast("double")), 6).alias("precision_at_1"))
     diagonal = s.join(t.withColumnRenamed("embedding", "other"), "idx").agg(F.round(F.avg(V.dot(F.col("embedding"), F.col("other"))), 6).alias("diagonal_mean"))
-    return best.crossJoin(diagonal)  # one row each
+    return _one_row(best, diagonal)
 
 
 # -- beads ------------------------------------------------------------------------------------
@@ -208,7 +219,7 @@ def export_drop_counts(spark, sf_dir):
 def yield_stats(spark, sf_dir):
     s = TQ.han_sentences(TQ.docs(spark, sf_dir)).agg(F.count("*").alias("sentences"))
     p = export.drop_counts(pairs(spark, sf_dir)).select(F.col("n_kept").alias("pairs"))
-    return s.crossJoin(p).withColumn("yield", F.round(F.col("pairs") / F.col("sentences"), 6))  # one row each
+    return _one_row(s, p).withColumn("yield", F.round(F.col("pairs") / F.col("sentences"), 6))
 
 
 _SCORED = "select doc_id, cast(doc_id * 7919 % 1000 as double) / 1000 as score from documents"
