@@ -24,9 +24,9 @@ from . import repeats
 
 WINDOW, GRAM = 50, 12
 #: Records of one minimiser that one task may sort; the windows of larger groups are counted by digest.
-HOT = 5000
+HOT = 20_000
 SPANS = "doc_id long, s long, e long"
-PACKED = "bucket int, h long, doc_id long, start long, n int, packed binary"
+PACKED = "bucket int, h long, doc_id long, start long, n int, back int, packed binary"
 
 
 def _packer(window: int):
@@ -54,7 +54,7 @@ def _pack(window: int, buckets: int):
                 words = text.encode().split()
                 for r in recs:
                     packed = b" ".join(words[r["start"] : r["start"] + r["n"] + window - 1])
-                    rows.append((r["h"] % buckets, r["h"], doc, r["start"], r["n"], packed))
+                    rows.append((r["h"] % buckets, r["h"], doc, r["start"], r["n"], r["back"], packed))
                     size += len(packed)
                 if size > 8_000_000:
                     yield _batch(rows)
@@ -65,33 +65,43 @@ def _pack(window: int, buckets: int):
 
 
 def _batch(rows):
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "h", "doc_id", "start", "n", "packed"])
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "h", "doc_id", "start", "n", "back", "packed"])
 
 
 def shared_windows(rows: list[tuple], window: int):
-    """(doc, first word, end word) of the repeated windows of one minimiser's (doc, start, n, packed) rows."""
-    first: dict[bytes, int] = {}
-    for doc, _, _, packed in rows:
-        first[packed] = min(doc, first.get(packed, doc))
+    """(doc, first word, end word) of the repeated windows of one minimiser's (doc, start, n, back, packed) rows.
+
+    Equal windows have the minimiser at the same place, so each place is sorted on its own; equal strings
+    are one entry, and what is held at a time is one window of each entry."""
+    first: dict[bytes, list[int]] = {}
+    for doc, _, n, back, packed in rows:
+        held = first.setdefault(packed, [doc, n, back])
+        held[0] = min(doc, held[0])
     lowest: dict[bytes, list[int]] = {}
     if len(first) > 1:
-        seen = []
-        for packed, doc in first.items():
-            edges = [-1, *(i for i, c in enumerate(packed) if c == 32), len(packed)]
-            lowest[packed] = [doc] * (len(edges) - window)
-            seen += [(packed[edges[j] + 1 : edges[j + window]], doc, packed, j) for j in range(len(edges) - window)]
-        seen.sort(key=lambda x: x[:2])  # equal windows meet, the smallest document first
-        for _, run in groupby(seen, key=lambda x: x[0]):
-            doc = -1
-            for k, (_, d, packed, j) in enumerate(run):
-                doc = d if k == 0 else doc
-                lowest[packed][j] = doc
-    for doc, start, n, packed in rows:
+        edges = {}
+        for packed, (doc, n, _) in first.items():
+            edges[packed] = [-1, *(i for i, c in enumerate(packed) if c == 32), len(packed)]
+            lowest[packed] = [doc] * n
+        for place in range(min(back - n + 1 for _, n, back in first.values()), max(back for _, _, back in first.values()) + 1):
+            seen = []
+            for packed, (doc, n, back) in first.items():
+                j = back - place
+                if 0 <= j < n:
+                    e = edges[packed]
+                    seen.append((packed[e[j] + 1 : e[j + window]], doc, packed, j))
+            seen.sort(key=lambda x: x[:2])  # equal windows meet, the smallest document first
+            last, low = None, -1
+            for w, doc, packed, j in seen:
+                if w != last:
+                    last, low = w, doc
+                lowest[packed][j] = low
+    for doc, start, n, _, packed in rows:
         low = lowest.get(packed)
         if low is None:
-            if first[packed] < doc:
+            if first[packed][0] < doc:
                 yield doc, start, start + n + window - 1
             continue
         j = 0
