@@ -11,6 +11,7 @@ their names, and ``op5`` only its own.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,14 +69,19 @@ _MEASURES = f"""transform(array({_WORDS}), w -> named_struct(
 _LINE_COUNTS = f"transform(array({_LINES}), x -> named_struct('n', size(x), 'd', cast(size(x) - size(array_distinct(x)) as bigint)))[0]"
 
 
-def measures() -> Column:
-    """One struct of all measures of the text in column ``_t``."""
-    return F.expr(f"""transform(array(coalesce(cast(_t as string), '')), t -> named_struct(
+def _measures_sql(column: str) -> str:
+    """One struct of all measures of a text column, which is bound once."""
+    return f"""transform(array(coalesce(cast({column} as string), '')), t -> named_struct(
         'words', {_MEASURES}, 'lines', {_LINE_COUNTS},
         'word_chars', cast(length(translate(t, ' \\t\\n\\u000b\\u000c\\r', '')) as bigint),
         'n_symbols', cast(length(t) - length(translate(t, '#*$%&|<>', '')) as bigint),
         'n_exclaims', length(t) - length(translate(t, '!', '')),
-        'n_upper', length(t) - length(regexp_replace(t, '\\\\p{{Lu}}', ''))))[0]""")
+        'n_upper', length(t) - length(regexp_replace(t, '\\\\p{{Lu}}', ''))))[0]"""
+
+
+def measures() -> Column:
+    """All measures of the text in column ``_t``."""
+    return F.expr(_measures_sql("_t"))
 
 
 def compiled(rules=RULES) -> Column:
@@ -97,10 +103,18 @@ def scored(docs: DataFrame, rules=RULES) -> DataFrame:
     return _measured(docs.select("doc_id", F.col("text").alias("_t")), "doc_id", rules)
 
 
+_PLACES = {"n_lines": "m.lines.n", "n_dup_lines": "m.lines.d"} | {k: f"m.words.{k}" for k in ("n_words", "n_repeat_words", "n_stop", "n_unlettered")} | {k: f"m.{k}" for k in ("word_chars", "n_symbols", "n_exclaims", "n_upper")}
+
+
 def quality_filter(docs: DataFrame, rules=RULES) -> DataFrame:
-    """Rows of ``docs`` whose text the rules keep, with the input's columns."""
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("_t"))
-    return _measured(held, "row", rules).where("kept").select("row.*")
+    """Rows of ``docs`` whose text the rules keep, with the input's columns.
+
+    The measures are bound inside the predicate: as columns, each rule would repeat them once the optimiser
+    pushes the predicate below their projection."""
+    tests = "".join(f" and (cast({r.measure} as double) between {float(r.low)!r}D and {float(r.high)!r}D)" for r in rules)
+    verdict = f"n_words >= 10 and 100 * n_repeat_words <= 20 * n_words{tests}"
+    verdict = re.sub(r"\b(" + "|".join(_PLACES) + r")\b", lambda x: _PLACES[x[1]], verdict)
+    return docs.where(F.expr(f"coalesce(transform(array({_measures_sql('text')}), m -> {verdict})[0], false)"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
