@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from paracorpus.llm import nn_descent, quality, secrets, toxicity
 
@@ -127,6 +128,26 @@ def test_neighbours(vectors):
     assert [r.vec_id for r in by[400]] == list(range(300, 310))  # ties go to the smaller id
 
 
+def test_search_goes_on_until_all_of_the_beam_is_expanded(spark):
+    chain = spark.createDataFrame([(i, [(1.0, j) for j in (i - 1, i + 1) if 0 <= j < 18]) for i in range(18)], nn_descent.LIST)
+    vectors = spark.createDataFrame([(i, [float(i)]) for i in range(18)], "node long, vec array<float>")
+    found = nn_descent.search(chain, vectors, spark.createDataFrame([(0,)], "node long"), 50).first().found
+    assert [x.w for x in found] == list(range(18))
+
+
+def test_beam_widens_until_recall_is_reached(spark):
+    x = np.random.default_rng(5).standard_normal((3000, 48)).astype("f4")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    vectors = df.select(F.col("vec_id").alias("node"), F.col("embedding").alias("vec"))
+    asked = vectors.where("node % 100 = 0").select("node")
+    true = nn_descent.scan(vectors, asked, 11)
+    exact = {q: np.argsort(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))[:11].tolist() for q in range(0, 3000, 100)}
+    assert {r.node: [w.w for w in r.found] for r in true.collect()} == exact
+    graph = nn_descent.stash(nn_descent.build(vectors, k=6, rounds=1), "graph")
+    assert nn_descent.recall(nn_descent.search(graph, vectors, asked, 12), true, 11) < 0.8
+    assert nn_descent.recall(nn_descent.reached(graph, vectors, asked, 10, 3000, 12), true, 11) >= nn_descent.TARGET
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (100, [1.0, 0.0])], "vec_id long, embedding array<float>")
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in nn_descent.nearest(df).collect())
