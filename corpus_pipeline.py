@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paracorpus.llm import packing, quality, secrets, simhash, suffix_dedup
+from paracorpus.llm import near_copies, packing, quality, secrets, suffix_dedup
 from paracorpus.llm.common import documents, stash
 
 
@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest doc_id stays."""
-    return simhash.one_of_each(docs)
+    """Of each group of documents linked by five-word shingles of similarity 0.8 or more the smallest doc_id stays."""
+    return near_copies.one_of_each(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import re
 import pytest
 import xxhash
 
-from paracorpus.llm import components, repeats, simhash, substring_dedup, suffix_dedup
+from paracorpus.llm import components, near_copies, repeats, simhash, substring_dedup, suffix_dedup
 from paracorpus.llm.suffix_merge import LoserTree, common_prefix, common_suffix, front_code
 
 ROWS = "doc_id long, text string, lang string, h string, s int"
@@ -134,6 +134,42 @@ def test_simhash_groups(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(frame(spark, texts)).collect()) == sorted(set(root))
 
 
+@pytest.mark.parametrize("crowded", [4, 0])
+def test_near_copies_of_the_pipeline(spark, monkeypatch, crowded):
+    import corpus_pipeline
+
+    monkeypatch.setattr(near_copies, "CROWDED", crowded)
+    rnd = random.Random(6)
+    common = [f"common{i}" for i in range(12)]
+    texts = [None, "", "two words", "Two  WORDS", "two words"]
+    for k in range(12):
+        base = [f"w{k}x{rnd.randint(0, 400)}" for _ in range(rnd.randint(20, 160))] + common
+        for edits in (0, 0, 1, 2, 3, 4, 6):
+            copy = list(base)
+            for i in range(edits):
+                copy[rnd.randrange(len(copy))] = f"e{k}x{edits}x{i}"
+            texts.append(" ".join(copy))
+        chain = list(base)
+        for i in range(6):  # each links to the one before, few to the first
+            chain[7 * i % len(chain)] = f"c{i}"
+            texts.append(" ".join(chain))
+    rnd.shuffle(texts)
+
+    def held(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = [held(t) for t in texts]
+    alike = lambda x, y: x == y or 5 * len(x & y) >= 4 * len(x | y)
+    near = [[j for j in range(len(sets)) if alike(sets[i], sets[j])] for i in range(len(sets))]
+    root = list(range(len(sets)))
+    for _ in sets:
+        root = [min(root[j] for j in near[i]) for i in range(len(sets))]
+    # SimHash at two bits, the stage before, keeps more
+    assert simhash.one_of_each(frame(spark, texts)).count() > len(set(root))
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, frame(spark, texts), "").collect()) == sorted(set(root))
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 100)]
     got = dict(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
