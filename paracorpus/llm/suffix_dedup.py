@@ -154,9 +154,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     return spans
 
 
-def _cut(text: str, ss, es) -> tuple[bytes, bytes, list]:
+def _cut(text: str, ss, es, words: int = 0) -> tuple[bytes, bytes, list]:
     blob = text.encode()
-    runs = repeats.merged(ss or [], es or [])
+    runs = [(s, e) for s, e in repeats.merged(ss or [], es or []) if not words or e - s >= WINDOW or len(blob[s:e].split()) >= words]
     at, kept = 0, []
     for s, e in runs:
         kept.append(blob[at:s])
@@ -182,12 +182,13 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     return repeats.with_spans(repeats.plain(docs), spans).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def clean(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``docs`` with the repeated bytes cut out of ``text``; what is left of a character cut in two goes too."""
+def clean(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, words: int = 0) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text``; what is left of a character cut in two goes too.
+    With ``words``, repeated stretches of fewer words stay, unless they have ``WINDOW`` bytes."""
 
     def run(batches):
         for batch in batches:
-            texts = [_cut(t or "", ss, es)[1].decode(errors="ignore") if ss else t for t, ss, es in zip(*(c.to_pylist() for c in batch.columns[-3:]), strict=True)]
+            texts = [_cut(t or "", ss, es, words)[1].decode(errors="ignore") if ss else t for t, ss, es in zip(*(c.to_pylist() for c in batch.columns[-3:]), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc", "text"])
 
     spans = repeated_spans(docs, window, gram)

@@ -170,6 +170,21 @@ def test_near_copies_of_the_pipeline(spark, monkeypatch, crowded):
     assert sorted(r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, frame(spark, texts), "").collect()) == sorted(set(root))
 
 
+def test_the_pipeline_cuts_passages_of_51_words(spark):
+    import corpus_pipeline
+
+    own = lambda k: " ".join(f"{k}own{i}" for i in range(40))
+    passage = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 2)}cde" for i in range(51))
+    letters = " ".join(chr(97 + i * i % 26) for i in range(51))
+    fewer = " ".join(f"few{i}" for i in range(30))
+    assert 295 <= len(passage) <= 310
+    texts = [f"{own(2 * k + i)} {x} {own(20 + 2 * k + i)}" for k, x in enumerate((passage, letters, fewer)) for i in range(2)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.suffix_array_dedup(spark, frame(spark, texts), "").collect()}
+    assert [x in got[2 * k + i] for k, x in enumerate((passage, letters, fewer)) for i in range(2)] == [False] * 4 + [True] * 2
+    assert all(own(k).split()[5] in got[k] and own(20 + k).split()[5] in got[k] for k in range(6))
+    assert len(got[0]) < len(texts[0]) - 290 and got[4] == texts[4]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 100)]
     got = dict(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
