@@ -134,11 +134,12 @@ def test_simhash_groups(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each(frame(spark, texts)).collect()) == sorted(set(root))
 
 
-@pytest.mark.parametrize("crowded", [4, 0])
-def test_near_copies_of_the_pipeline(spark, monkeypatch, crowded):
+@pytest.mark.parametrize("cells", [1 << 22, 1 << 10])
+def test_near_copies_of_the_pipeline(spark, monkeypatch, cells):
     import corpus_pipeline
 
-    monkeypatch.setattr(near_copies, "CROWDED", crowded)
+    real = near_copies.levels
+    monkeypatch.setattr(near_copies, "levels", lambda docs, shingle: real(docs, shingle, cells))
     rnd = random.Random(6)
     common = [f"common{i}" for i in range(12)]
     texts = [None, "", "two words", "Two  WORDS", "two words"]
