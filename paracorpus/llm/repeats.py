@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import parts, slabs, stash, text_or_empty
 
-RECORD = "h long, doc_id long, start long, n int, back int"
+RECORD = "h long, key long, start long, n int, back int"
 #: Records a bucket; the number of buckets follows the input.
 A_BUCKET = 20_000
 _PLACE = np.uint64((1 << 24) - 1)
@@ -79,8 +79,8 @@ def anchors(values: np.ndarray, owner_ends: np.ndarray, window: int, gram: int):
     return starts, n_windows, anchor[starts], hashes[anchor[starts]].view(np.int64)
 
 
-def _record_batch(h, doc, start, n, back):
-    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(back, pa.int32())], ["h", "doc_id", "start", "n", "back"])
+def _record_batch(h, key, start, n, back):
+    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(key, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(back, pa.int32())], ["h", "key", "start", "n", "back"])
 
 
 def byte_units(blobs: list[bytes], window: int):
@@ -93,12 +93,24 @@ def byte_units(blobs: list[bytes], window: int):
 _SEPARATOR = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
+def word_places(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each word."""
+    space = _SEPARATOR[np.frombuffer(b, np.uint8)]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    return edge[::2], edge[1::2]
+
+
+def word_values(b: bytes, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the words that begin at s and end at e, piece by piece."""
+    per = _PIECE // 4
+    cut = [(s[at : at + per], e[at : at + per]) for at in range(0, len(s), per)]
+    return np.concatenate([span_hashes(np.frombuffer(b, np.uint8)[x[0] : y[-1]], x - x[0], y - x[0]) for x, y in cut]) if cut else np.zeros(0, np.uint64)
+
+
 def word_units(blobs: list[bytes], window: int):
     """The same by words: values are word hashes."""
     for i, b in enumerate(blobs):
-        space = _SEPARATOR[np.frombuffer(b, np.uint8)]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
-        starts, ends = edge[::2], edge[1::2]
+        starts, ends = word_places(b)
         per = _PIECE // 4
         for at in range(0, max(1, len(starts) - window + 1), per):
             s, e = starts[at : at + per + window - 1], ends[at : at + per + window - 1]
@@ -107,7 +119,7 @@ def word_units(blobs: list[bytes], window: int):
 
 
 def records(docs: DataFrame, units, window: int, gram: int) -> DataFrame:
-    """RECORD rows of all documents with a doc_id: gram hash, first window's place, windows, anchor behind it."""
+    """RECORD rows of all (key, text) rows: gram hash, first window's place, windows, anchor behind it."""
 
     def run(batches):
         for batch in batches:
@@ -135,24 +147,35 @@ def records(docs: DataFrame, units, window: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, RECORD)
 
 
-def repeated(docs: DataFrame, units, window: int, gram: int, across: bool, hot: int):
-    """The records whose gram repeats (in another document, if ``across``), marked ``hot`` if it has more than
-    ``hot`` records, too many for one task; and the bucket count."""
-    all_records = stash(records(docs.where("doc_id is not null"), units, window, gram), "records")
-    counts = all_records.groupBy("h").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    again = counts.where("lo < hi" if across else "c > 1").select("h", (F.col("c") > hot).alias("hot"))
+def repeated(texts: DataFrame, units, window: int, gram: int, across: bool, hot: int):
+    """The records of ``keyed`` texts whose gram repeats (under another key, if ``across``), marked ``hot`` if it has
+    more than ``hot`` records, too many for one task; and the bucket count."""
+    all_records = stash(records(texts.where("key is not null").select("key", "text"), units, window, gram), "records")
+    counts = all_records.groupBy("h").agg(F.count("*").alias("c"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    # written first, so that a gram with many records is a skewed join of two scans, which Spark splits
+    again = stash(counts.where("lo < hi" if across else "c > 1").select("h", (F.col("c") > hot).alias("hot")), "again")
     found = stash(all_records.join(again, "h"), "repeated")
-    return found, max(parts(docs.sparkSession), all_records.count() // A_BUCKET + 1)
+    return found, max(parts(texts.sparkSession), all_records.count() // A_BUCKET + 1)
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A number for each row: doc_id, or a hash of doc_id and text if a doc_id comes twice; null without doc_id.
+
+    Rows that repeat both share a key; they have the same text, and so the same places and spans."""
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
+    if ids.where("count > 1").limit(1).count():
+        return F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", text_or_empty()))
+    return F.col("doc_id")
 
 
-def plain(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", text_or_empty().alias("text"))
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(row_key(docs).alias("key"), "doc_id", text_or_empty().alias("text"))
 
 
-def with_texts(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, text, recs) for documents that have such records; texts are dealt by doc_id."""
-    per = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "back", "h")).alias("recs"))
-    return docs.hint("shuffle_merge").join(per.hint("shuffle_merge"), "doc_id")
+def with_texts(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc_id, text, recs) for the rows that have such records; texts are dealt by key."""
+    per = found.groupBy("key").agg(F.collect_list(F.struct("start", "n", "back", "h")).alias("recs"))
+    return texts.hint("shuffle_merge").join(per.hint("shuffle_merge"), "key").select("key", "doc_id", "text", "recs")
 
 
 def merged(starts: list, ends: list) -> list[tuple[int, int]]:
@@ -179,11 +202,11 @@ def windows_by_digest(texts: DataFrame, pack, windows, window: int, across: bool
     def records_of(batches):
         for batch in batches:
             out, size = [], 0
-            for doc, text, recs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, doc, text, recs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 cut = pack(text.encode())
                 for r in recs:
                     packed = cut(r["start"], r["n"])
-                    out.append((hashlib.md5(packed).digest(), doc, r["start"], packed))
+                    out.append((hashlib.md5(packed).digest(), key, doc, r["start"], packed))
                     size += len(packed)
                 if size > 4_000_000:
                     yield batch_of(out)
@@ -191,8 +214,9 @@ def windows_by_digest(texts: DataFrame, pack, windows, window: int, across: bool
             yield batch_of(out)
 
     def batch_of(out):
-        columns = list(zip(*out, strict=True)) if out else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["whole", "doc_id", "start", "packed"])
+        columns = list(zip(*out, strict=True)) if out else [[]] * 5
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["whole", "key", "doc_id", "start", "packed"])
 
     def windows_of(batches):
         for batch in batches:
@@ -204,22 +228,22 @@ def windows_by_digest(texts: DataFrame, pack, windows, window: int, across: bool
     def spans_of(batches):
         for batch in batches:
             out = []
-            for doc, start, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, doc, start, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 at = [start + x["j"] for x in found if (x["lo"] < doc if across else x["c"] > 1)]
-                out += [(doc, s, e) for s, e in merged(at, [p + window for p in at])]
+                out += [(key, s, e) for s, e in merged(at, [p + window for p in at])]
             columns = list(zip(*out, strict=True)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "s", "e"])
 
     # left lazy: in one plan with the other records, the exchange of the texts is made once and reused
-    each = texts.mapInArrow(records_of, "whole binary, doc_id long, start long, packed binary")
+    each = texts.mapInArrow(records_of, "whole binary, key long, doc_id long, start long, packed binary")
     distinct = each.groupBy("whole").agg(F.min("doc_id").alias("lo"), F.count("*").alias("c"), F.first("packed").alias("packed"))
     window_rows = distinct.mapInArrow(windows_of, "whole binary, j int, digest binary, lo long, c long")
     counts = window_rows.groupBy("digest").agg(F.min("lo").alias("lo"), F.sum("c").alias("c"))
     per = window_rows.select("whole", "j", "digest").join(counts, "digest").groupBy("whole").agg(F.collect_list(F.struct("j", "lo", "c")).alias("found"))
-    return each.select("whole", "doc_id", "start").join(per, "whole").select("doc_id", "start", "found").mapInArrow(spans_of, "doc_id long, s long, e long")
+    return each.select("whole", "key", "doc_id", "start").join(per, "whole").select("key", "doc_id", "start", "found").mapInArrow(spans_of, "key long, s long, e long")
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(doc_id, text, ss, es) of every document; ss and es are null where nothing repeats."""
-    per = spans.groupBy("doc_id").agg(F.collect_list("s").alias("ss"), F.collect_list("e").alias("es"))
-    return docs.hint("shuffle_merge").join(per.hint("shuffle_merge"), "doc_id", "left").select("doc_id", "text", "ss", "es")
+def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, text, ss, es) of every row; ss and es are null where nothing repeats."""
+    per = spans.groupBy("key").agg(F.collect_list("s").alias("ss"), F.collect_list("e").alias("es"))
+    return texts.hint("shuffle_merge").join(per.hint("shuffle_merge"), "key", "left").select("doc_id", "text", "ss", "es")

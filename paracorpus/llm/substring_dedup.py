@@ -6,8 +6,9 @@ of equal windows give the smallest document that holds them.  Strings whose mini
 document cannot hold a shared window and do not travel.
 
 Defined cases: null, empty and short texts lose nothing; documents without doc_id lose nothing and take
-nothing from others; rows that repeat a doc_id must repeat its text and each get the same result; an empty
-table gives no rows; other columns of the input are ignored.
+nothing from others; rows that repeat a doc_id are rows of one document number: they take nothing from each
+other, whatever their texts, and each loses what smaller numbers hold; very long texts are scanned in pieces;
+an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from . import repeats
 WINDOW, GRAM = 50, 12
 #: Records of one minimiser that one task may sort; the windows of larger groups are counted by digest.
 HOT = 20_000
-SPANS = "doc_id long, s long, e long"
-PACKED = "bucket int, h long, doc_id long, start long, n int, back int, packed binary"
+SPANS = "key long, s long, e long"
+PACKED = "bucket int, h long, key long, doc_id long, start long, n int, back int, packed binary"
 
 
 def _packer(window: int):
@@ -50,11 +51,11 @@ def _pack(window: int, buckets: int):
         for batch in batches:
             rows = []
             size = 0
-            for doc, text, recs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, doc, text, recs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = text.encode().split()
                 for r in recs:
                     packed = b" ".join(words[r["start"] : r["start"] + r["n"] + window - 1])
-                    rows.append((r["h"] % buckets, r["h"], doc, r["start"], r["n"], r["back"], packed))
+                    rows.append((r["h"] % buckets, r["h"], key, doc, r["start"], r["n"], r["back"], packed))
                     size += len(packed)
                 if size > 8_000_000:
                     yield _batch(rows)
@@ -65,18 +66,18 @@ def _pack(window: int, buckets: int):
 
 
 def _batch(rows):
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "h", "doc_id", "start", "n", "back", "packed"])
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "h", "key", "doc_id", "start", "n", "back", "packed"])
 
 
 def shared_windows(rows: list[tuple], window: int):
-    """(doc, first word, end word) of the repeated windows of one minimiser's (doc, start, n, back, packed) rows.
+    """(key, first word, end word) of the repeated windows of one minimiser's (key, doc, start, n, back, packed) rows.
 
     Equal windows have the minimiser at the same place, so each place is sorted on its own; equal strings
     are one entry, and what is held at a time is one window of each entry."""
     first: dict[bytes, list[int]] = {}
-    for doc, _, n, back, packed in rows:
+    for _, doc, _, n, back, packed in rows:
         held = first.setdefault(packed, [doc, n, back])
         held[0] = min(doc, held[0])
     lowest: dict[bytes, list[int]] = {}
@@ -98,11 +99,11 @@ def shared_windows(rows: list[tuple], window: int):
                 if w != last:
                     last, low = w, doc
                 lowest[packed][j] = low
-    for doc, start, n, _, packed in rows:
+    for key, doc, start, n, _, packed in rows:
         low = lowest.get(packed)
         if low is None:
             if first[packed][0] < doc:
-                yield doc, start, start + n + window - 1
+                yield key, start, start + n + window - 1
             continue
         j = 0
         while j < n:
@@ -110,7 +111,7 @@ def shared_windows(rows: list[tuple], window: int):
                 i = j
                 while j < n and low[j] < doc:
                     j += 1
-                yield doc, start + i, start + j + window - 1
+                yield key, start + i, start + j + window - 1
             j += 1
 
 
@@ -137,12 +138,11 @@ def _bucket(window: int):
 
 def _spans(out):
     columns = list(zip(*out, strict=True)) if out else [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "s", "e"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "s", "e"])
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, s, e) word spans covered by windows that start in a document with a smaller doc_id; may overlap."""
-    docs = repeats.plain(docs)
+    """(key, s, e) word spans of ``keyed`` texts covered by windows that start in a document with a smaller doc_id; may overlap."""
     found, buckets = repeats.repeated(docs, repeats.word_units, window, gram, across=True, hot=HOT)
     cold = repeats.with_texts(docs, found.where("not hot"))
     packed = cold.mapInArrow(_pack(window, buckets), PACKED)
@@ -173,8 +173,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "kept", "n_words", "n_removed", "kept_sha256"])
 
-    spans = repeated_spans(docs, window, gram)
-    return repeats.with_spans(repeats.plain(docs), spans).mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")
+    texts = repeats.keyed(docs)
+    return repeats.with_spans(texts, repeated_spans(texts, window, gram)).mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Substring, suffix and SimHash dedup against brute force, with small windows so that groups get large."""
 
+import collections
 import hashlib
 import random
 import re
@@ -73,6 +74,43 @@ def test_substring_dedup(spark, monkeypatch, hot):
         assert (got[i].n_words, got[i].n_removed, got[i].kept.encode()) == (len(ws), len(gone), kept)
 
 
+def test_one_doc_id_with_two_texts_and_repeated_rows(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    a, b = (" ".join(word() for _ in range(90)) for _ in "ab")
+    c = b[:200] + " own " + " ".join(word() for _ in range(70))
+    rows = [(1, a), (1, b), (2, a), (2, a), (3, c), (3, c), (4, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = collections.Counter(r[1][i : i + 400] for r in rows for i in range(len(r[1]) - 399))
+    want = [(d, len({p for i in range(len(t) - 399) if whole[t[i : i + 400]] > 1 for p in range(i, i + 400)})) for d, t in rows]
+    assert sorted((r.doc_id, r.n_removed) for r in suffix_dedup.dedup(df).collect()) == sorted(want)
+    first = {}
+    for d, t in rows:
+        w = t.split()
+        for i in range(len(w) - 49):
+            k = tuple(w[i : i + 50])
+            first[k] = min(d, first.get(k, d))
+    words = [(d, len({p for i in range(len(t.split()) - 49) if first[tuple(t.split()[i : i + 50])] < d for p in range(i, i + 50)})) for d, t in rows]
+    assert sorted((r.doc_id, r.n_removed) for r in substring_dedup.dedup(df).collect()) == sorted(words)
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 5])
+@pytest.mark.parametrize("few", [12, 1])
+def test_suffix_dedup_by_words(spark, monkeypatch, hot, few):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "FEW", few)
+    texts, w = corpus(), 12
+    places = [[(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    words = [[(t or "").encode()[s:e] for s, e in ps] for t, ps in zip(texts, places, strict=True)]
+    seen = collections.Counter(tuple(ws[j : j + w]) for ws in words for j in range(len(ws) - w + 1))
+    got = {r.doc_id: r.text for r in suffix_dedup.clean(frame(spark, texts), w, 4, words=True).collect()}
+    for i, (t, ws, ps) in enumerate(zip(texts, words, places, strict=True)):
+        gone = {p for j in range(len(ws) - w + 1) if seen[tuple(ws[j : j + w])] > 1 for p in range(j, j + w)}
+        blob = (t or "").encode()
+        drop = {x for p in gone for x in range(ps[p][0], ps[p + 1][0] if p + 1 in gone else ps[p][1])}
+        assert (got[i] or "").encode() == bytes(c for x, c in enumerate(blob) if x not in drop), i
+
+
 def test_long_texts_are_scanned_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_PIECE", 64)
     texts, w = corpus(), 40
@@ -176,7 +214,7 @@ def test_the_pipeline_cuts_passages_of_51_words(spark):
 
     own = lambda k: " ".join(f"{k}own{i}" for i in range(40))
     passage = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 2)}cde" for i in range(51))
-    letters = " ".join(chr(97 + i * i % 26) for i in range(51))
+    letters = " ".join(chr(97 + i * i % 26) for i in range(51))  # 101 bytes
     fewer = " ".join(f"few{i}" for i in range(30))
     assert 295 <= len(passage) <= 310
     texts = [f"{own(2 * k + i)} {x} {own(20 + 2 * k + i)}" for k, x in enumerate((passage, letters, fewer)) for i in range(2)]
