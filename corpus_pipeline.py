@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from paracorpus.llm import near_copies, packing, quality, secrets, suffix_dedup
 from paracorpus.llm.common import documents, stash
 
-#: Words of the shortest repeated passage that is cut out; so many words have twice as many bytes, less one, at least.
-PASSAGE = 51
+#: Words of the shortest repeated passage that is cut out, and of the grams that anchor it.
+PASSAGE, GRAM = 51, 12
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -32,8 +32,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of over 50 words, and strings of 400 bytes, that start in more than one place are cut out of the texts."""
-    return _counted(suffix_dedup.clean(docs, 2 * PASSAGE - 1, 32, PASSAGE))
+    """Passages of over 50 words that start in more than one place are cut out of the texts."""
+    return _counted(suffix_dedup.clean(docs, PASSAGE, GRAM, words=True))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
