@@ -9,18 +9,24 @@ stands before that token.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import heapq
 import json
 import re
-import unicodedata
+import threading
 
 import numpy as np
+import pyarrow as pa
 import regex
+from tokenizers import Tokenizer
 
 END = "Ā"
-#: Entries of each cache of a worker before it is emptied, which bounds its memory.
-CACHE = 1_500_000
+#: Bytes of each cache of a worker before it is emptied, at ``ENTRY`` bytes for the objects of an entry.
+CACHE, ENTRY = 192_000_000, 200
+#: Seconds without a task after which a worker drops its caches, which would else lie beside the next stage's memory.
+IDLE = 2.0
 #: White space of the tokenizers' patterns (Unicode White_Space); ``str.split`` also takes U+001C..U+001F.
 WHITE = "\t-\r \x85\xa0  -     　"
 #: The pre-tokenizing patterns of the two vocabulary files.
@@ -210,7 +216,7 @@ class Bpe:
         key = a << 20 | b
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) > 4 * CACHE:
+            if len(self.pairs) * ENTRY > CACHE:
                 self.pairs.clear()
             found = self.pairs[key] = self.exact(self.texts[a] + self.texts[b]) == [a, b]
         return found
@@ -239,20 +245,6 @@ class Bpe:
 
     # -- speculate and verify -----------------------------------------------------------------
 
-    def greedy(self, text: str) -> list[int] | None:
-        """Longest match from the left; None if it gets stuck."""
-        out, i, n, ids, longest = [], 0, len(text), self.ids, self.longest
-        while i < n:
-            for j in range(min(n, i + longest), i, -1):
-                t = ids.get(text[i:j])
-                if t is not None:
-                    out.append(t)
-                    i = j
-                    break
-            else:
-                return None
-        return out
-
     def compatible_many(self, keys: np.ndarray) -> np.ndarray:
         """``compatible`` for pair keys ``a << 20 | b``: each distinct pair is settled once."""
         distinct, back = np.unique(keys, return_inverse=True)
@@ -385,6 +377,53 @@ class Bpe:
         return out
 
 
+class Cache(dict):
+    """A dictionary that knows about how many bytes its entries take."""
+
+    taken = 0
+
+    def add(self, keys, values) -> None:
+        """New entries; values are bytes or numbers."""
+        keys, values = list(keys), list(values)
+        self.update(zip(keys, values, strict=True))
+        self.taken += sum(map(len, keys)) + ENTRY * len(keys) + (sum(map(len, values)) if values and isinstance(values[0], bytes) else 0)
+
+    def clear(self) -> None:
+        super().clear()
+        self.taken = 0
+
+    def bound(self) -> None:
+        if self.taken > CACHE:
+            self.clear()
+
+
+class Caches:
+    """Caches of a worker that outlive its tasks, but not a pause between them."""
+
+    def __init__(self):
+        self.words, self.chunks, self.decoded = Cache(), Cache(), Cache()
+        self.lock, self.timer = threading.Lock(), None
+
+    def forget(self) -> None:
+        with self.lock:
+            for x in (self.words, self.chunks, self.decoded):
+                x.clear()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    @contextlib.contextmanager
+    def at_work(self):
+        """Around what a task does with the caches."""
+        with self.lock:
+            if self.timer:
+                self.timer.cancel()
+            yield
+        self.timer = threading.Timer(IDLE, self.forget)
+        self.timer.daemon = True
+        self.timer.start()
+
+
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> Bpe:
     """One a worker: its caches serve all tasks that the worker runs."""
@@ -398,25 +437,22 @@ _BYTE = regex.compile(BYTE_PATTERN)
 _UNSAFE = re.compile(f" [{WHITE}]|[{WHITE}] $")
 
 
-class ByteCounter:
+class ByteCounter(Caches):
     """Token counts of texts for a byte-level vocabulary, each distinct pre-token by prefix counts."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.bpe = load(path)
-        self.words: dict[str, int] = {}
-        self.chunks: dict[str, int] = {}
 
     def learn(self, chunks: set[str]) -> None:
         """Fill the caches for these chunks; their distinct pre-tokens are counted together."""
-        if len(self.words) > CACHE:
-            self.words.clear()
+        self.words.bound()
         split = {c: [c] if c[1:].isalpha() and c[0] == " " or c.isalpha() else _BYTE.findall(c) for c in chunks if c not in self.chunks}
         words = list({w for ws in split.values() for w in ws}.difference(self.words))
         counts = self.bpe.count_words([w.encode("utf-8", "replace").decode("latin-1") for w in words])
-        self.words.update(zip(words, counts, strict=True))
+        self.words.add(words, counts)
         get = self.words.__getitem__
-        for c, ws in split.items():
-            self.chunks[c] = get(ws[0]) if len(ws) == 1 else sum(map(get, ws))
+        self.chunks.add(split, [get(ws[0]) if len(ws) == 1 else sum(map(get, ws)) for ws in split.values()])
 
     def cut(self, text: str) -> list[str]:
         """Consecutive chunks of a text; chunk borders are pre-token borders."""
@@ -435,13 +471,13 @@ class ByteCounter:
     def count_many(self, texts: list[str]) -> tuple[list[list[str]], list[list[int]]]:
         """Chunks and chunk counts of each text."""
         lists = [self.cut(t) for t in texts]
-        if len(self.chunks) > CACHE:
-            self.chunks.clear()
-        special = dict.fromkeys(self.bpe.special, 1)
-        self.chunks.update(special)
-        self.learn(set().union(*lists).difference(self.chunks))
-        get = self.chunks.__getitem__
-        return lists, [list(map(get, cs)) for cs in lists]
+        with self.at_work():
+            self.chunks.bound()
+            special = dict.fromkeys(self.bpe.special, 1)
+            self.chunks.update(special)
+            self.learn(set().union(*lists).difference(self.chunks))
+            get = self.chunks.__getitem__
+            return lists, [list(map(get, cs)) for cs in lists]
 
     def count(self, text: str) -> int:
         return sum(self.count_many([text])[1][0])
@@ -471,23 +507,24 @@ _WHITE_RUN = re.compile(f"[{WHITE}]+")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
-class WordCodec:
+class WordCodec(Caches):
     """Encoder of the lower-casing vocabulary whose white space is dropped: works by white-space chunks,
     each distinct chunk once; ids are kept as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.bpe = load(path)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
+        self.library = Tokenizer.from_file(path)
+        self.latin = str.maketrans(_byte_chars())
         self.special = {t: np.uint32(i).tobytes() for t, i in self.bpe.special.items()}
         self.names = [self.bpe.names.get(i, "").encode() for i in range(max(self.bpe.names) + 1)]
 
-    @staticmethod
-    def normal(chunk: str) -> list[str]:
-        low = unicodedata.normalize("NFC", chunk)
-        low = "".join(c.lower() for c in low) if "Σ" in low else low.lower()
-        return _WORD.findall(low)
+    def normal(self, chunk: str) -> list[str]:
+        """Pre-tokens of a chunk, by the library's own Unicode tables, which are of another version than Python's."""
+        if chunk.isascii():
+            return _WORD.findall(chunk.lower())
+        parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
+        return [x.translate(self.latin).encode("latin-1").decode() for x, _ in parts]
 
     def chunked(self, text: str) -> list[str]:
         """Chunks of a text; special tokens stand alone."""
@@ -501,10 +538,8 @@ class WordCodec:
 
     def learn(self, chunk_lists: list[list[str]]) -> None:
         """Fill the caches for these chunks."""
-        if len(self.chunks) > CACHE:
-            self.chunks.clear()
-        if len(self.words) > CACHE:
-            self.words.clear()
+        self.chunks.bound()
+        self.words.bound()
         missing = set().union(*chunk_lists).difference(self.chunks)
         single: dict[str, str] = {}
         ended: dict[str, tuple[str, str]] = {}
@@ -513,7 +548,7 @@ class WordCodec:
             if c.isascii() or max(c) < "\u0300":  # below U+0300 text is its own NFC form
                 low = c.lower()
                 if low.isalpha():
-                    single[c] = low
+                    single[c] = c if c == low else low
                     continue
                 if low[-1] in ".," and low[:-1].isalpha():
                     ended[c] = (low[:-1], low[-1])
@@ -524,19 +559,19 @@ class WordCodec:
         words.update(p for _, p in ended.values())
         words.update(w for ws in other.values() for w in ws)
         new = list(words.difference(self.words))
-        self.words.update(zip(new, self.bpe.encode_words([w.encode("utf-8", "replace").decode("latin-1") + END for w in new]), strict=True))
+        self.words.add(new, self.bpe.encode_words([w.encode("utf-8", "replace").decode("latin-1") + END for w in new]))
         get = self.words.__getitem__
-        self.chunks.update(zip(single, map(get, single.values()), strict=True))
-        self.chunks.update((c, get(w) + get(p)) for c, (w, p) in ended.items())
-        for c, ws in other.items():
-            self.chunks[c] = self.special[c] if c in self.special else b"".join(map(get, ws))
+        self.chunks.add(single, map(get, single.values()))
+        self.chunks.add(ended, (get(w) + get(p) for w, p in ended.values()))
+        self.chunks.add(other, (self.special[c] if c in self.special else b"".join(map(get, ws)) for c, ws in other.items()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
         lists = [self.chunked(t) for t in texts]
-        self.learn(lists)
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, cs)) for cs in lists]
+        with self.at_work():
+            self.learn(lists)
+            get = self.chunks.__getitem__
+            return [b"".join(map(get, cs)) for cs in lists]
 
     def decode(self, ids: bytes) -> bytes:
         """What the library gives without a decoder: token names joined by spaces, in UTF-8."""
@@ -546,14 +581,14 @@ class WordCodec:
     def round_trip(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of each text, and what they decode to; each distinct chunk is decoded once."""
         lists = [self.chunked(t) for t in texts]
-        self.learn(lists)
-        if len(self.decoded) > CACHE:
-            self.decoded.clear()
-        code, decode, decoded = self.chunks.__getitem__, self.decode, self.decoded
-        for c in set().union(*lists).difference(decoded):
-            decoded[c] = decode(code(c))
-        name = decoded.__getitem__
-        return [(b"".join(map(code, cs)), b" ".join(map(name, cs))) for cs in lists]
+        with self.at_work():
+            self.learn(lists)
+            self.decoded.bound()
+            code, decode = self.chunks.__getitem__, self.decode
+            new = list(set().union(*lists).difference(self.decoded))
+            self.decoded.add(new, [decode(code(c)) for c in new])
+            name = self.decoded.__getitem__
+            return [(b"".join(map(code, cs)), b" ".join(map(name, cs))) for cs in lists]
 
 
 @functools.lru_cache(maxsize=4)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -45,6 +46,28 @@ def test_counts_are_the_library_s(docs):
             assert r.fitting_bytes == r.n_bytes
 
 
+def test_every_code_point_is_read_as_the_library_reads_it():
+    texts = [f"a{chr(i)}b" for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    words, counter = bpe.word_codec(public_tokenizers.path("word_bpe_49k.json")), bpe.byte_counter(public_tokenizers.path("byte_bpe_50k.json"))
+    by_word, by_byte = library("word_bpe_49k.json"), library("byte_bpe_50k.json")
+    for at in range(0, len(texts), 50_000):
+        some = texts[at : at + 50_000]
+        assert words.encode(some) == [np.array(e.ids, "<u4").tobytes() for e in by_word.encode_batch(some, add_special_tokens=False)]
+        assert [sum(c) for c in counter.count_many(some)[1]] == [len(e.ids) for e in by_byte.encode_batch(some, add_special_tokens=False)]
+
+
+def test_caches_are_bounded_and_dropped_when_idle(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 50_000)
+    monkeypatch.setattr(bpe, "IDLE", 0.1)
+    codec = bpe.WordCodec(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(20):
+        some = [f"w{k}x{i} y{i}" for i in range(50)]
+        assert codec.encode(some) == [np.array(e.ids, "<u4").tobytes() for e in library("word_bpe_49k.json").encode_batch(some, add_special_tokens=False)] if k % 7 == 0 else codec.encode(some)
+        assert codec.chunks.taken < 50_000 + 30_000
+    time.sleep(1)
+    assert not codec.chunks and not codec.words and codec.encode(["a b"]) and codec.round_trip(["a b"])
+
+
 def test_prefix_counts_of_every_prefix():
     b = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     rnd = random.Random(1)
