@@ -2,15 +2,15 @@ r"""Secret scans with corpus-wide ownership frequency (operator 4), in SQL expre
 
 ``split`` and ``regexp_extract_all`` cut a text by the same pattern into gaps and matches, whose running
 lengths are the spans' code-point positions.  Base kinds are reported as found.  Every candidate value is
-hashed and counted over the corpus by distinct repositories and owners: values of one owner look live,
-values that several owners hold are copied examples.  The method adds ``generic`` spans: random-looking
-values that no base span covers and that belong to a single owner.
+hashed and counted over the corpus by distinct owners and by distinct repositories: a value that several owners
+hold, or that one owner has in more than ``live_repositories`` repositories, is a copied example; the others look
+live.  The method adds ``generic`` spans: random-looking values that no base span covers and that look live.
 
-An owner is (source, lang), a repository is a source; both are parameters.
+An owner is a source, a repository a source's documents in one language; both are parameters.
 
-Defined cases: a null or empty text has no spans; null repositories and owners count as one more name
-each; repeated rows give repeated rows; an empty table gives no rows; ``masked`` returns all columns of
-its input, ``op4`` its own only.
+Defined cases: a null or empty text has no spans; very long texts are scanned whole; null repositories and
+owners count as one more name each; repeated rows give repeated rows and count as one repository; an empty
+table gives no rows; ``masked`` returns all columns of its input, whatever their names, ``op4`` its own only.
 """
 
 from __future__ import annotations
@@ -49,6 +49,10 @@ def _spans(kind: int, pattern: str, test: str, group: int = 0) -> str:
 _LISTED = "array_join(transform(array_sort({}), x -> concat(element_at(array('assign', 'access', 'hex', 'generic'), x.ord + 1), ':', x.start, ':', x.end)), ',')"
 
 
+#: Owners and repositories of each candidate, in order of place; generic ones that do not look live are listed too.
+_FREQUENCY = "coalesce(array_join(transform(array_sort(seen), x -> concat(element_at(array('assign', 'access', 'hex', 'generic'), x.ord + 1), ':', x.start, ':', x.owners, '/', x.repositories)), ','), '')"
+
+
 def _found() -> Column:
     mixed = "value rlike '[0-9]' and value rlike '[a-z]' and value rlike '[A-Z]'"
     return F.expr(f"""transform(array(coalesce(cast(_t as string), '')), t -> named_struct(
@@ -58,11 +62,12 @@ def _found() -> Column:
         'generic', {_spans(3, GENERIC, mixed)}))[0]""")
 
 
-def scan(docs: DataFrame, repository: str = "source", owner: tuple = ("source", "lang"), row: Column | None = None) -> DataFrame:
+def scan(docs: DataFrame, repository: tuple = ("source", "lang"), owner: tuple = ("source",), row: Column | None = None) -> DataFrame:
     """One row a text: row, doc_id, repo, owner, base spans and uncovered generic spans, as structs with hashed values."""
     hashed = "transform({}, x -> named_struct('start', x.start, 'ord', x.ord, 'end', x.end, 'hash', sha2(x.value, 256)))"
     row = F.monotonically_increasing_id() if row is None else row
-    named = docs.select(row.alias("row"), "doc_id", F.coalesce(F.col(repository).cast("string"), F.lit("\0")).alias("repo"), F.concat_ws("\1", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in owner]).alias("owner"), F.col("text").alias("_t"))
+    name = lambda columns: F.concat_ws("\1", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
+    named = docs.select(row.alias("row"), "doc_id", name(repository).alias("repo"), name(owner).alias("owner"), F.col("text").alias("_t"))
     found = named.select("row", "doc_id", "repo", "owner", _found().alias("f"))
     base = found.select("row", "doc_id", "repo", "owner", "f.assign", "f.access", "f.hex", "f.generic")
     base = base.select(
@@ -74,16 +79,20 @@ def scan(docs: DataFrame, repository: str = "source", owner: tuple = ("source",
     return base.select("row", "doc_id", "repo", "owner", "n_assign", "n_access", "n_hex", F.expr(hashed.format("base")).alias("base"), F.expr(hashed.format(free)).alias("generic"))
 
 
-def judged(scanned: DataFrame, live_owners: int = 1) -> DataFrame:
-    """``scanned`` (written, so that its row numbers hold) with n_live, n_example and ``added`` generic spans."""
+def judged(scanned: DataFrame, live_owners: int = 1, live_repositories: int = 2) -> DataFrame:
+    """``scanned`` (written, so that its row numbers hold) with n_live, n_example, ``added`` generic spans and ``seen``: the
+    owners and repositories of every candidate."""
     each = scanned.select("row", "repo", "owner", F.explode(F.concat("base", "generic")).alias("s")).select("row", "repo", "owner", "s.*")
     # one row a (value, owner, repository) before the counts: copies of a value are combined before they move
     held = each.select("hash", "repo", "owner").distinct().groupBy("hash")
-    counts = held.agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repositories"))
-    told = each.select("row", "start", "ord", "end", "hash").join(counts, "hash").withColumn("live", F.expr(f"owners <= {int(live_owners)}"))
+    # written, so that a value in very many rows is a skewed join of two scans, which Spark splits
+    counts = stash(held.agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repositories")), "owners")
+    live = F.expr(f"owners <= {int(live_owners)} and repositories <= {int(live_repositories)}")
+    told = each.select("row", "start", "ord", "end", "hash").join(counts, "hash").withColumn("live", live)
     by_row = told.groupBy("row").agg(
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"),
         F.collect_list(F.when(F.col("live") & (F.col("ord") == 3), F.struct("start", "ord", "end"))).alias("added"),
+        F.collect_list(F.struct("start", "ord", "end", "owners", "repositories")).alias("seen"),
     )
     return scanned.join(by_row, "row", "left").withColumns({
         "n_live": F.coalesce("n_live", F.lit(0)), "n_example": F.coalesce("n_example", F.lit(0)),
@@ -96,14 +105,15 @@ def report(docs: DataFrame) -> DataFrame:
     found = judged(stash(scan(docs), "secrets"))
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.expr(_LISTED.format("base")), 256).alias("base_sha256"),
-        F.expr(_LISTED.format("concat(base, added)")).alias("spans"), "n_live", "n_example",
+        F.expr(_LISTED.format("concat(base, added)")).alias("spans"), "n_live", "n_example", F.expr(_FREQUENCY).alias("frequency"),
     )
 
 
 def masked(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mark``; texts without spans are untouched."""
     numbered = stash(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("_row")), "numbered")
-    scanned = stash(scan(numbered.select("doc.*", "_row"), row=F.col("_row")), "secrets")
+    needed = [F.col(f"doc.`{c}`") for c in ("doc_id", "text", "source", "lang")]
+    scanned = stash(scan(numbered.select(*needed, "_row"), row=F.col("_row")), "secrets")
     spans = judged(scanned).where("size(base) + size(added) > 0").select(F.col("row").alias("_row"), F.expr("array_sort(concat(base, added))").alias("_spans"))
     # overlapping spans leave one mark: a span that begins inside what is masked only moves its end
     cut = """aggregate(_spans, named_struct('at', 0, 'out', ''), (a, x) -> if(x.start < a.at, named_struct('at', greatest(a.at, x.end), 'out', a.out),

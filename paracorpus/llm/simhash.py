@@ -1,15 +1,16 @@
 r"""SimHash near-duplicates by a positional inverted index with count filtering (operator 8).
 
-Fingerprints at two or fewer differing bits agree in at least six of their eight positional bytes.  The
-index posts each distinct fingerprint under pairs of two-byte blocks (four positional bytes together): of
-four blocks two at least agree, so every link meets in a posting.  A pair's shared positional bytes are
-tallied, pairs under six are dropped, the rest is verified bit by bit, and a pair counts only in the first
-posting that it shares.  A posting of more than ``HOT`` fingerprints is not paired: its fingerprints are
-posted again with one or two of the free bits struck out, which gives groups of four at most and
-the same links.  Copies of one fingerprint are one entry from the start.
-
-Defined cases: a null, empty or word-free text has fingerprint zero and links like any other; repeated
-rows give repeated rows; an empty table gives no rows; other columns of the input are ignored by
+Fingerprints at two or fewer differing bits share at least six of their eight positional bytes.  Lists under single bytes
+would grow with the corpus, so the index first posts each distinct fingerprint under pairs of two-byte blocks: of four
+blocks two at least agree, so every link meets in such a list, whose members share four positional bytes.  Each list is
+split by the further bytes: its members are posted under each of the other four positions, the meetings of a pair are
+tallied, and pairs that share fewer than six bytes in all are dropped.  What is left is verified bit by bit.  A list
+of more than ``HOT`` fingerprints is not paired: its fingerprints are posted again with one or two of the free bits
+struck out, which gives groups of four at most and the same links.  Copies of one fingerprint are one entry from the start.
+
+Defined cases: a null, empty or word-free text has fingerprint zero and links like any other; very long texts are hashed
+whole, in pieces; rows without doc_id have a fingerprint and count for no component's name; repeated rows give repeated rows, and
+rows that repeat a doc_id are rows of their own in one component or several; an empty table gives no rows; other columns of the input are ignored by
 ``op8`` and kept by ``one_of_each``.
 """
 
@@ -25,6 +26,8 @@ from .common import documents, slabs, stash, text_or_empty
 from .components import components
 
 SEED, HOT = 42, 512
+#: Bits in which linked fingerprints may differ.
+BITS = 2
 _CHUNK = 200_000
 
 
@@ -57,8 +60,8 @@ def fingerprints(docs: DataFrame, keep: tuple = ("doc_id",), shingle: int = 3) -
     return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(run, schema)
 
 
-def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b) pairs of the distinct fingerprints in ``fp`` that differ in one or two bits."""
+def candidates(distinct: DataFrame, hot: int = HOT) -> DataFrame:
+    """(a, b) pairs of the distinct fingerprints in ``fp`` that share six positional bytes or more, what two differing bits leave."""
     blocks = [(i, j) for i in range(4) for j in range(i + 1, 4)]
     mask = {i: 0xFFFF << (16 * i) for i in range(4)}
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
@@ -67,12 +70,13 @@ def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     sizes = posted.groupBy("combo", "key").agg(F.count("*").alias("n")).where("n > 1")
     met = stash(posted.join(sizes, ["combo", "key"]), "postings")
 
-    # postings of bounded size: tally, filter, verify inside the list
-    bytes_shared = "(" + " + ".join(f"if(x & {signed(0xFF << 8 * i)}L = 0, 1, 0)" for i in range(8)) + ")"
-    first = "case " + " ".join(f"when x & {signed(mask[i] | mask[j])}L = 0 then {c}" for c, (i, j) in enumerate(blocks)) + " end"
-    agree = f"transform(array(a ^ b), x -> {bytes_shared} >= 6 and bit_count(x) <= 2 and {first} = combo)[0]"
-    listed = met.where(F.col("n") <= hot).groupBy("combo", "key").agg(F.collect_list("fp").alias("fps"))
-    pairs = listed.select(F.explode(F.expr(f"flatten(transform(fps, a -> transform(filter(fps, b -> b > a and {agree}), b -> named_struct('a', a, 'b', b))))")).alias("p")).select("p.a", "p.b")
+    # a list shares four bytes; its members are posted under each of the other four, and a pair's tally is how often it meets
+    others = F.create_map(*[x for c, (i, j) in enumerate(blocks) for x in (F.lit(c), F.array(*[F.lit(p) for p in range(8) if p // 2 not in (i, j)]))])
+    byte = met.where(F.col("n") <= hot).select("combo", "key", "fp", F.explode(others[F.col("combo")]).alias("place"))
+    byte = byte.withColumn("byte", F.expr("cast(shiftrightunsigned(fp, 8 * place) & 255 as int)"))
+    on = ["combo", "key", "place", "byte"]
+    pairs = byte.withColumnRenamed("fp", "a").join(byte.withColumnRenamed("fp", "b"), on).where("a < b")
+    tallied = pairs.groupBy("combo", "key", "a", "b").agg((F.count("*") + 4).alias("shared")).where(f"shared >= {8 - BITS}").select("a", "b")
 
     # large postings: strike out one or two free bits; what is equal then differs nowhere else
     free = F.create_map(*[x for c, (i, j) in enumerate(blocks) for x in (F.lit(c), F.array(*[F.lit(b) for b in range(64) if b // 16 not in (i, j)]))])
@@ -80,7 +84,12 @@ def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     many = many.select("fp", "i", F.explode(F.expr("filter(f, j -> j > i)")).alias("j")).select("fp", "i", "j", F.expr("fp & ~(shiftleft(1L, i) | shiftleft(1L, j))").alias("rest"))
     struck = many.groupBy("i", "j", "rest").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
     more = struck.select(F.explode(F.expr("flatten(transform(fps, a -> transform(filter(fps, b -> b > a), b -> named_struct('a', a, 'b', b))))")).alias("p")).select("p.a", "p.b")
-    return pairs.unionByName(more).distinct()
+    return tallied.unionByName(more).distinct()
+
+
+def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
+    """(a, b) pairs of the distinct fingerprints in ``fp`` that differ in one or two bits: the candidates, verified bit by bit."""
+    return candidates(distinct, hot).where(f"bit_count(a ^ b) <= {BITS}")
 
 
 def grouped(marked: DataFrame) -> DataFrame:

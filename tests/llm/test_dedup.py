@@ -151,6 +151,12 @@ def test_simhash_links(spark, hot):
     got = {tuple(sorted(r)) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), hot).collect()}
     want = {tuple(sorted((a, b))) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
     assert got == want
+    tallied = {tuple(sorted(r)) for r in simhash.candidates(spark.createDataFrame([(f,) for f in signed], "fp long"), hot).collect()}
+    shared = lambda a, b: sum((a >> 8 * i) & 255 == (b >> 8 * i) & 255 for i in range(8))
+    assert tallied >= want and all(shared(a, b) >= 6 for a, b in tallied)
+    if hot == 512:  # the tally decides what is verified: each pair of a list with six bytes in common, and no other
+        meet = {tuple(sorted((a, b))) for i, a in enumerate(signed) for b in signed[:i] if shared(a, b) >= 6 and sum((a ^ b) >> 16 * k & 0xFFFF == 0 for k in range(4)) >= 2}
+        assert tallied == meet and len(tallied) > len(want)
 
 
 def test_simhash_groups(spark):

@@ -62,6 +62,49 @@ def test_secrets(spark):
     assert got[8].spans == "" and got[8].n_example == 1  # two owners share it
 
 
+def test_ownership_counts_against_brute_force(spark):
+    rnd = np.random.default_rng(4)
+    alphabet = list("abcdefghjkmnpqrstuvwxyzABCDEFGHJKMNPQRSTUVWXYZ23456789")
+    values = ["".join(rnd.choice(alphabet, 30)) + "aB3" for _ in range(12)] + ["0123456789abcdef01"] + ["AKIA" + "Q" * 16]
+    rows = []
+    for i in range(120):
+        some = rnd.choice(len(values), rnd.integers(0, 4))
+        text = " ".join(rnd.choice(["x {}", "key={}", 'token = "{}"', "{}\n"]).format(values[v]) for v in some)
+        rows.append((i, text, [None, "en", "fr", "de"][i % 4], f"s{min(int(v) for v in some) % 5 if len(some) else 0}"))
+    rows += [(200 + i, f"x own{i}Own0123456789abcXYZ y", "en", f"s{i % 3}") for i in range(9)]
+    rows += [*rows[:10], *rows[-4:]]  # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kinds = [(ASSIGN, 2, lambda v: len(v) >= 12), (re.compile("AKIA[A-Z0-9]+"), 0, lambda v: len(v) >= 18), (re.compile("[0-9a-f]+"), 0, lambda v: len(v) >= 16)]
+    generic = re.compile("[A-Za-z0-9+/_-]{20,}")
+    found, owners, repositories = [], collections.defaultdict(set), collections.defaultdict(set)
+    for _, t, lang, source in rows:
+        base = [(m.start(), k, m.end(), m[g]) for k, (p, g, ok) in enumerate(kinds) for m in p.finditer(t) if ok(m[g])]
+        mixed = lambda v: all(re.search(c, v) for c in ("[0-9]", "[a-z]", "[A-Z]"))
+        more = [(m.start(), 3, m.end(), m[0]) for m in generic.finditer(t) if mixed(m[0]) and not any(b[0] < m.end() and m.start() < b[2] for b in base)]
+        found.append((base, more))
+        for *_, v in base + more:
+            owners[v].add(source)
+            repositories[v].add((source, lang))
+    live = lambda v: len(owners[v]) <= 1 and len(repositories[v]) <= 2
+    names = ("assign", "access", "hex", "generic")
+    want = []
+    for (i, *_), (base, more) in zip(rows, found, strict=True):
+        listed = sorted(base + [x for x in more if live(x[3])])
+        counted = ",".join(f"{names[k]}:{s}:{len(owners[v])}/{len(repositories[v])}" for s, k, _, v in sorted(base + more))
+        want.append((i, ",".join(f"{names[k]}:{s}:{e}" for s, k, e, _ in listed), sum(live(x[3]) for x in base + more), sum(not live(x[3]) for x in base + more), counted))
+    got = [(r.doc_id, r.spans, r.n_live, r.n_example, r.frequency) for r in secrets.report(docs).collect()]
+    assert sorted(got) == sorted(want) and any(x[2] for x in want) and any(x[3] for x in want)
+    none = docs.limit(0)
+    assert secrets.report(none).count() == secrets.masked(none).count() == 0
+
+
+def test_masking_keeps_columns_of_any_name(spark):
+    rows = [(1, "password: abcdefghijkl", "en", "s", 1, 2, "3"), (1, None, None, None, 4, 5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _row int, row int, doc string")
+    out = secrets.masked(df)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=str) == sorted([(1, "[SECRET]", "en", "s", 1, 2, "3"), rows[1]], key=str)
+
+
 def test_masking(spark):
     out = secrets.masked(frame(spark, SECRETS))
     got = {r.doc_id: r.text for r in out.collect()}
