@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -114,8 +115,6 @@ def test_masking(spark):
 
 
 def test_toxicity_learns_and_ignores_held_out_labels(spark):
-    import zlib
-
     rng = np.random.default_rng(3)
     vocabulary = [f"w{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
     rows, labels = [], []
@@ -136,6 +135,48 @@ def test_toxicity_learns_and_ignores_held_out_labels(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values()) and got[1000].score == got[1001].score == got[1002].score
 
 
+def test_toxicity_against_kneser_ney_by_hand(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcé"), rng.integers(1, 6)))
+    rows = [(i, " ".join(word() for _ in range(30)) + (" vilestab vile" if i % 4 == 0 else ""), "x") for i in range(120)] + [(500, None, "x"), (0, "vile again", "x")]
+    labels = [(i, int(i % 4 == 0)) for i in range(100)] + [(3, 1), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, cell string")
+    known = toxicity.training_labels(spark.createDataFrame(labels, "doc_id long, toxic int"))
+    kinds = {r.doc_id: int(r.toxic) if not r.curve else 2 for r in known.collect()}
+    assert kinds[3] in (1, 2) and not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in kinds) and {0, 1, 2} <= set(kinds.values())
+    model = toxicity.Model(toxicity.letter_counts(docs, known, 4, 1 << 22).toPandas(), 4, 2, 1 << 22)
+    grams = [collections.Counter() for _ in range(3)]
+    for i, t, _ in rows:
+        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+            s = "<<<<" + w + ">"
+            grams[kinds.get(i, 2)].update(s[j - n + 1 : j + 1] for j in range(4, len(s)) for n in range(1, 5))
+
+    def p(k, s):
+        n = len(s)
+        if not n:
+            return 1 / 256
+        if n <= 2:
+            longer = {g for c in grams for g in c if len(g) == n + 1}
+            count = lambda g: len({x for x in longer if x[1:] == g})
+            every = {g for c in grams for g in c if len(g) == n}
+        else:
+            count, every = grams[k].__getitem__, {g for g in grams[k] if len(g) == n}
+        same = [count(g) for g in every if g[:-1] == s[:-1]]
+        if not sum(same):
+            return p(k, s[1:])
+        return max(0, count(s) - 0.75) / sum(same) + 0.75 * sum(x > 0 for x in same) / sum(same) * p(k, s[1:])
+
+    for w in ("vilest", "ab", "écab", "zz"):
+        s = "<<<<" + w + ">"
+        want = sum(np.log(p(1, s[j - 3 : j + 1])) - np.log(p(0, s[j - 3 : j + 1])) for j in range(4, len(s)))
+        assert abs(model.ratios([w])[0] - want) < 1e-4, w
+    x, n = model.measures(["ab vilest ab", "", "!"])
+    assert n.tolist() == [3, 0, 0] and abs(x[0] - model.ratios(["ab", "ab", "vilest"]).sum() / 3) < 1e-9
+    assert toxicity.scored(docs.limit(0), model).count() == 0 and toxicity.train(docs.limit(0), spark.createDataFrame(labels, "doc_id long, toxic int")).slope == 0
+    long = "vile " * 100_000 + "x" * 300_000
+    assert model.scores([long, None or ""]).shape == (2,) and model.measures([long])[1][0] == 100_001
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
