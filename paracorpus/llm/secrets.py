@@ -62,63 +62,63 @@ def _found() -> Column:
         'generic', {_spans(3, GENERIC, mixed)}))[0]""")
 
 
-def scan(docs: DataFrame, repository: tuple = ("source", "lang"), owner: tuple = ("source",), row: Column | None = None) -> DataFrame:
-    """One row a text: row, doc_id, repo, owner, base spans and uncovered generic spans, as structs with hashed values."""
+def scan(docs: DataFrame, repository: tuple = ("source", "lang"), owner: tuple = ("source",), keep: Column | None = None) -> DataFrame:
+    """One row a text: row, doc (``keep``), doc_id, repo, owner, base spans and uncovered generic spans, as structs with hashed
+    values.  Row numbers hold once the result is written."""
     hashed = "transform({}, x -> named_struct('start', x.start, 'ord', x.ord, 'end', x.end, 'hash', sha2(x.value, 256)))"
-    row = F.monotonically_increasing_id() if row is None else row
     name = lambda columns: F.concat_ws("\1", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
-    named = docs.select(row.alias("row"), "doc_id", name(repository).alias("repo"), name(owner).alias("owner"), F.col("text").alias("_t"))
-    found = named.select("row", "doc_id", "repo", "owner", _found().alias("f"))
-    base = found.select("row", "doc_id", "repo", "owner", "f.assign", "f.access", "f.hex", "f.generic")
+    named = docs.select(F.monotonically_increasing_id().alias("row"), (F.lit(0) if keep is None else keep).alias("doc"), "doc_id", name(repository).alias("repo"), name(owner).alias("owner"), F.col("text").alias("_t"))
+    found = named.select("row", "doc", "doc_id", "repo", "owner", _found().alias("f"))
+    base = found.select("row", "doc", "doc_id", "repo", "owner", "f.assign", "f.access", "f.hex", "f.generic")
     base = base.select(
-        "row", "doc_id", "repo", "owner",
+        "row", "doc", "doc_id", "repo", "owner",
         F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"), F.size("hex").cast("long").alias("n_hex"),
         F.expr("concat(assign, access, hex)").alias("base"), "generic",
     )
     free = "filter(generic, g -> not exists(base, b -> b.start < g.end and g.start < b.end))"
-    return base.select("row", "doc_id", "repo", "owner", "n_assign", "n_access", "n_hex", F.expr(hashed.format("base")).alias("base"), F.expr(hashed.format(free)).alias("generic"))
+    return base.select("row", "doc", "doc_id", "repo", "owner", "n_assign", "n_access", "n_hex", F.expr(hashed.format("base")).alias("base"), F.expr(hashed.format(free)).alias("generic"))
 
 
 def judged(scanned: DataFrame, live_owners: int = 1, live_repositories: int = 2) -> DataFrame:
-    """``scanned`` (written, so that its row numbers hold) with n_live, n_example, ``added`` generic spans and ``seen``: the
-    owners and repositories of every candidate."""
+    """Candidates of ``scanned``, which is written, one row each: row, start, ord, end, owners, repositories and ``live``."""
     each = scanned.select("row", "repo", "owner", F.explode(F.concat("base", "generic")).alias("s")).select("row", "repo", "owner", "s.*")
     # one row a (value, owner, repository) before the counts: copies of a value are combined before they move
     held = each.select("hash", "repo", "owner").distinct().groupBy("hash")
     # written, so that a value in very many rows is a skewed join of two scans, which Spark splits
     counts = stash(held.agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repositories")), "owners")
     live = F.expr(f"owners <= {int(live_owners)} and repositories <= {int(live_repositories)}")
-    told = each.select("row", "start", "ord", "end", "hash").join(counts, "hash").withColumn("live", live)
-    by_row = told.groupBy("row").agg(
+    return each.join(counts, "hash").select("row", "start", "ord", "end", "owners", "repositories", live.alias("live"))
+
+
+_PLACES = "transform(base, x -> named_struct('start', x.start, 'ord', x.ord, 'end', x.end))"
+_ADDED = "coalesce(added, cast(array() as array<struct<start:int,ord:int,end:int>>))"
+
+
+def report(docs: DataFrame) -> DataFrame:
+    scanned = stash(scan(docs), "secrets")
+    by_row = judged(scanned).groupBy("row").agg(
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"),
         F.collect_list(F.when(F.col("live") & (F.col("ord") == 3), F.struct("start", "ord", "end"))).alias("added"),
         F.collect_list(F.struct("start", "ord", "end", "owners", "repositories")).alias("seen"),
     )
-    return scanned.join(by_row, "row", "left").withColumns({
-        "n_live": F.coalesce("n_live", F.lit(0)), "n_example": F.coalesce("n_example", F.lit(0)),
-        "base": F.expr("transform(base, x -> named_struct('start', x.start, 'ord', x.ord, 'end', x.end))"),
-        "added": F.expr("coalesce(added, cast(array() as array<struct<start:int,ord:int,end:int>>))"),
-    })
-
-
-def report(docs: DataFrame) -> DataFrame:
-    found = judged(stash(scan(docs), "secrets"))
+    found = scanned.join(by_row, "row", "left").withColumns({"base": F.expr(_PLACES), "added": F.expr(_ADDED)})
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.expr(_LISTED.format("base")), 256).alias("base_sha256"),
-        F.expr(_LISTED.format("concat(base, added)")).alias("spans"), "n_live", "n_example", F.expr(_FREQUENCY).alias("frequency"),
+        F.expr(_LISTED.format("concat(base, added)")).alias("spans"), F.coalesce("n_live", F.lit(0)).alias("n_live"),
+        F.coalesce("n_example", F.lit(0)).alias("n_example"), F.expr(_FREQUENCY).alias("frequency"),
     )
 
 
 def masked(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mark``; texts without spans are untouched."""
-    numbered = stash(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("_row")), "numbered")
-    needed = [F.col(f"doc.`{c}`") for c in ("doc_id", "text", "source", "lang")]
-    scanned = stash(scan(numbered.select(*needed, "_row"), row=F.col("_row")), "secrets")
-    spans = judged(scanned).where("size(base) + size(added) > 0").select(F.col("row").alias("_row"), F.expr("array_sort(concat(base, added))").alias("_spans"))
+    held = stash(scan(docs, keep=F.struct(*[F.col(f"`{c}`") for c in docs.columns])), "secrets")
+    # only rows with spans that the counts add meet another table; Spark broadcasts it only if its file is under its threshold
+    added = stash(judged(held).where("live and ord = 3").groupBy("row").agg(F.collect_list(F.struct("start", "ord", "end")).alias("added")), "added")
+    spans = held.select("row", "doc", F.expr(_PLACES).alias("base")).join(added, "row", "left").select("doc", F.expr(f"array_sort(concat(base, {_ADDED}))").alias("_spans"))
     # overlapping spans leave one mark: a span that begins inside what is masked only moves its end
     cut = """aggregate(_spans, named_struct('at', 0, 'out', ''), (a, x) -> if(x.start < a.at, named_struct('at', greatest(a.at, x.end), 'out', a.out),
         named_struct('at', x.end, 'out', concat(a.out, substring(doc.text, a.at + 1, x.start - a.at), '{}'))), a -> concat(a.out, substring(doc.text, a.at + 1)))"""
-    done = numbered.join(spans, "_row", "left").withColumn("_text", F.expr(f"if(_spans is null, doc.text, {cut.format(mark)})"))
+    done = spans.select("doc", F.expr(f"if(size(_spans) = 0, doc.text, {cut.format(mark)})").alias("_text"))
     return done.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
