@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Unicode white space as ``str.strip`` and ``str.split`` know it, as a Java class and as an RE2 class.
 WS = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0  -     　]"
 RE2_WS = r"[\t\n\v\f\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same characters as text, for trimming.
+WS_CHARS = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 #: White space that ends no line, and line ends.
 INLINE_WS = r"[\t\x1F\x20\xA0  -   　]"
 LINE_END = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85  ]"
@@ -15,11 +17,14 @@ RE2_LINE_END = r"[\n\v\f\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 #: Full-width forms of the printable ASCII characters, by rule.
 HALF = "".join(chr(c) for c in range(0x21, 0x7F))
 FULL = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
+#: Sentence ends, bracket markers and header lines of the corpus.
 TERMINATORS = "。！？；!?;"
+BRACKET_MARK = "【[^】]*】"
+HEADER_LINE = r"(?mUd)^(?:姊妹计划\s*[:：].*|数据项|#.*|\s*---+\s*)$"
 
 
 def strip(c) -> Column:
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def unix_newlines(c) -> Column:
@@ -28,12 +33,12 @@ def unix_newlines(c) -> Column:
 
 def strip_brackets(c) -> Column:
     """Delete closed 【…】 markers, across lines too."""
-    return F.regexp_replace(c, "【[^】]*】", "")
+    return F.regexp_replace(c, BRACKET_MARK, "")
 
 
 def strip_headers(c) -> Column:
     """Delete wiki header lines; the empty line stays, which may end a paragraph."""
-    return F.regexp_replace(c, r"(?mUd)^(?:姊妹计划\s*[:：].*|数据项|#.*|\s*---+\s*)$", "")
+    return F.regexp_replace(c, HEADER_LINE, "")
 
 
 def fold_fullwidth(c) -> Column:
@@ -93,11 +98,11 @@ def rule_fix(c, rules: dict[str, str] | None = None) -> Column:
 
 
 def volume_key(stem) -> Column:
-    """tap4..tap6 if the lower-cased stem names one, else the stem itself, shortened."""
+    """tap4..tap6 if the lower-cased stem names one, the accented spelling first, else the stem itself, shortened."""
     low = F.lower(stem)
     out = None
-    for n in (4, 5, 6):
-        test = low.contains(f"tập {n}") | low.contains(f"tap {n}")
+    for spelling, n in ((s, n) for s in ("tập", "tap") for n in (4, 5, 6)):
+        test = low.contains(f"{spelling} {n}")
         out = F.when(test, F.lit(f"tap{n}")) if out is None else out.when(test, F.lit(f"tap{n}"))
     return out.otherwise(F.substring(F.replace(stem, F.lit(" "), F.lit("_")), 1, 32))
 

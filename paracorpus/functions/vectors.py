@@ -21,6 +21,13 @@ def l2_normalize(a) -> Column:
     return F.when(n == 0, F.transform(a, lambda x: x.cast("double"))).otherwise(F.transform(F.array(n), lambda m: F.transform(a, lambda x: x.cast("double") / m))[0])
 
 
+def mean_by(df, key: str, vector: str):
+    """(key, vector): mean vectors by key.  Each place of the vector is averaged on its own, combined before rows move, so
+    that no group's vectors meet in one list."""
+    places = df.select(key, F.posexplode(vector).alias("_at", "_x")).groupBy(key, "_at").agg(F.avg(F.col("_x").cast("double")).alias("_x"))
+    return places.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda p: p["_x"]).alias(vector))
+
+
 def mean_pool(vectors) -> Column:
     """Element-wise mean of an array of vectors; it is not made unit length again."""
     total = F.aggregate(vectors, F.transform(F.get(vectors, F.lit(0)), lambda _: F.lit(0.0)), lambda s, v: F.zip_with(s, v, lambda x, y: x + y.cast("double")))

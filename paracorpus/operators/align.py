@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..functions.text import newline_to_space
+from .ids import dense_index
 
 MIN_SCORE = 0.5
 _LINE = r"^\[([0-9, \-]*)\]:\[([0-9, \-]*)\]:([+-]?[0-9.]+(?:[eE][+-]?[0-9]+)?)"
 
 
-def expand_range(c) -> Column:
-    """"" to [], "5" to [5], "2--4" to [2, 3, 4], "6, 7" to [6, 7]; a range that falls is empty."""
+def expand_range(c, strict: bool = True) -> Column:
+    """"" to [], "5" to [5], "2--4" to [2, 3, 4], "6, 7" to [6, 7]; a range that falls is empty.  Anything else is an error,
+    or with ``strict`` off is left out."""
     def one(part):
         a, b = (F.regexp_extract(part, r"^([0-9]+)--([0-9]+)$", i).try_cast("long") for i in (1, 2))
         single = part.try_cast("long")
         none = F.array().cast("array<bigint>")
-        return F.when(a.isNotNull() & b.isNotNull(), F.when(a <= b, F.sequence(a, F.greatest(a, b))).otherwise(none)).when(single.isNotNull(), F.array(single)).otherwise(none)
+        odd = F.when(part == "", none).otherwise(F.raise_error(F.concat(F.lit("no index or range: "), part)).cast("array<bigint>")) if strict else none
+        return F.when(a.isNotNull() & b.isNotNull(), F.when(a <= b, F.sequence(a, F.greatest(a, b))).otherwise(none)).when(single.isNotNull(), F.array(single)).otherwise(odd)
 
     return F.flatten(F.transform(F.split(c, r"\s*,\s*"), lambda p: one(F.trim(p))))
 
@@ -55,13 +58,43 @@ def gather(beads: DataFrame, sentences: DataFrame, index: str, text: str, key: s
     return out.withColumns({text: F.coalesce(text, F.lit("")), f"{text}_lines": F.coalesce(f"{text}_lines", F.array().cast("array<bigint>"))})
 
 
-def dedup_keep_first(sentences: DataFrame, least: int = 3, side: list[str] | None = None) -> DataFrame:
-    """First place of each text of ``least`` characters or more, newlines turned to spaces."""
+def dedup_keep_first(sentences: DataFrame, least: int = 3, side: list[str] | None = None, dedup: bool = True) -> DataFrame:
+    """First place of each text of ``least`` characters or more, newlines turned to spaces; all places without ``dedup``, so
+    that repeated formulae keep theirs before a monotone alignment."""
     side = side or []
     flat = sentences.select(*side, "idx", newline_to_space(F.col("text")).alias("text")).where(F.length("text") >= least)
+    if not dedup:
+        return flat
     return flat.groupBy(*side, "text").agg(F.min("idx").alias("idx"))
 
 
+def aligner_input(sentences: DataFrame, least: int = 3, dedup: bool = True) -> DataFrame:
+    """line, idx, text: what an outside aligner reads, numbered from 0 in idx order, with each line's own idx."""
+    return dense_index(dedup_keep_first(sentences, least, dedup=dedup), "idx", ["idx"], "line").select(F.col("line").cast("long").alias("line"), "idx", "text")
+
+
+def text_hash(c) -> Column:
+    return F.xxhash64(c)
+
+
+def with_embeddings(sentences: DataFrame, vectors: DataFrame, keys: tuple = ("idx",)) -> DataFrame:
+    """``sentences`` with the embedding of their key and text: ``vectors`` carry ``text_hash`` of what was embedded, and a
+    vector of another text is stale and does not join."""
+    return sentences.withColumn("text_hash", text_hash(F.col("text"))).join(vectors, [*keys, "text_hash"]).drop("text_hash")
+
+
+def stale(sentences: DataFrame, vectors: DataFrame, keys: tuple = ("idx",)) -> DataFrame:
+    """The sentences without a vector of their present text."""
+    return sentences.withColumn("text_hash", text_hash(F.col("text"))).join(vectors.select(*keys, "text_hash"), [*keys, "text_hash"], "left_anti").drop("text_hash")
+
+
+def pair_entities(pairs: DataFrame, entities: DataFrame, index: str, name: str, key: str = "bead") -> DataFrame:
+    """``pairs`` with ``name``: the distinct entities of the sentences that ``index`` names, in order; (idx, entity) rows."""
+    members = pairs.select(key, F.explode(index).alias("idx"))
+    per = members.join(entities.select("idx", "entity"), "idx").groupBy(key).agg(F.array_sort(F.collect_set("entity")).alias(name))
+    return pairs.join(per, key, "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+
+
 def bead_scores(beads: DataFrame, embeddings: DataFrame, key: str = "bead") -> DataFrame:
     """score: inner product of the two sides' mean vectors; cosine: the same made independent of length.
     Embeddings have (side, idx, embedding)."""

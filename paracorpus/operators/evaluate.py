@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import WS_CHARS
+
 #: Upper edges of the score bins.
 EDGES = (0.2, 0.5, 0.7, 0.9)
 
@@ -25,7 +29,9 @@ def stratified(pairs: DataFrame, key: str, sizes: dict[str, int]) -> DataFrame:
     stratum = F.when(F.col("score") < 0.5, "low").when(F.col("score") < 0.7, "mid").otherwise("high")
     rank = F.row_number().over(Window.partitionBy("stratum").orderBy(F.md5(F.col(key).cast("string")), key))
     most = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])
-    return pairs.withColumn("stratum", stratum).withColumn("_r", rank).where(F.col("_r") <= most[F.col("stratum")]).drop("_r")
+    # the literal bound lets each task keep no more than the largest stratum before rows move
+    ranked = pairs.withColumn("stratum", stratum).withColumn("_r", rank).where(F.col("_r") <= max(sizes.values()))
+    return ranked.where(F.col("_r") <= most[F.col("stratum")]).drop("_r")
 
 
 def holdout(pairs: DataFrame, key: str, seed: int = 42, tests: int = 20) -> DataFrame:
@@ -60,41 +66,80 @@ def krippendorff_ordinal(ratings: DataFrame) -> DataFrame:
     return ratings.select("criterion").distinct().join(got, "criterion", "left")
 
 
-def ngrams(items, n: int) -> Column:
-    """n-grams of an array, joined by a unit separator; fewer items give none."""
-    count = F.size(items) - n + 1
-    return F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.array_join(F.slice(items, i + 1, n), "\x1f"))).otherwise(F.array().cast("array<string>"))
+def clipped_matches(hypothesis: list, reference: list, orders) -> list[tuple[int, int, int, int]]:
+    """(order, clipped matches, hypothesis and reference n-grams) of two sequences.
+
+    An n-gram is named by the rank of (the (n-1)-gram before it, its last item), so names are exact."""
+    known: dict = {}
+    item = np.fromiter((known.setdefault(x, len(known)) for side in (hypothesis, reference) for x in side), np.int64, len(hypothesis) + len(reference))
+    side = np.arange(len(item)) >= len(hypothesis)
+    name, out = np.zeros(len(item), np.int64), []
+    # element i stands for the n-gram that ends there
+    left = np.where(side, np.arange(len(item)) - len(hypothesis), np.arange(len(item))) + 1
+    for n in range(1, max(orders) + 1):
+        before = np.concatenate([[0], name[:-1]]) if n > 1 else np.zeros(len(item), np.int64)
+        distinct, name = np.unique(before * (len(known) + 1) + item, return_inverse=True)
+        if n in orders:
+            whole = left >= n
+            h, r = (np.bincount(name[whole & (side == s)], minlength=len(distinct)) for s in (False, True))
+            out.append((n, int(np.minimum(h, r).sum()), int(h.sum()), int(r.sum())))
+    return out
+
+
+def ngram_matches(pairs: DataFrame, hypothesis, reference, orders) -> DataFrame:
+    """order, matched (clipped), hyp and ref n-gram counts over the corpus.  Both sides of a pair lie in one row, so n-grams
+    are counted there and only four numbers an order leave a task."""
+    orders = tuple(orders)
 
+    def run(batches):
+        total = {n: [0, 0, 0] for n in orders}
+        for batch in batches:
+            for h, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for n, *counts in clipped_matches(h or [], r or [], orders):
+                    total[n] = [x + y for x, y in zip(total[n], counts, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), *(pa.array(c, pa.int64()) for c in zip(*total.values(), strict=True))], ["order", "matched", "hyp", "ref"])
 
-def ngram_matches(pairs: DataFrame, key: str, hypothesis, reference, orders) -> DataFrame:
-    """order, matched (clipped), hyp and ref n-gram counts over the corpus."""
-    side = lambda c, name: pairs.select(F.col(key).alias("key"), F.explode(F.array(*[F.struct(F.lit(n).alias("order"), ngrams(c, n).alias("grams")) for n in orders])).alias("g")).select("key", "g.order", F.explode("g.grams").alias("gram")).groupBy("key", "order", "gram").agg(F.count("*").alias(name))
-    both = side(hypothesis, "h").join(side(reference, "r"), ["key", "order", "gram"], "full_outer").na.fill(0, ["h", "r"])
-    return both.groupBy("order").agg(F.sum(F.least("h", "r")).alias("matched"), F.sum("h").alias("hyp"), F.sum("r").alias("ref"))
+    each = pairs.select(hypothesis.alias("h"), reference.alias("r")).mapInArrow(run, "order int, matched long, hyp long, ref long")
+    return each.groupBy("order").agg(*[F.sum(c).alias(c) for c in ("matched", "hyp", "ref")])
 
 
-def bleu(pairs: DataFrame, key: str, hypothesis, reference, most: int = 4) -> DataFrame:
+def bleu(pairs: DataFrame, hypothesis, reference, most: int = 4) -> DataFrame:
     """Corpus BLEU (0 to 100) of arrays of words, with the brevity penalty; 0 if an order has no match."""
-    m = ngram_matches(pairs, key, hypothesis, reference, range(1, most + 1))
+    m = ngram_matches(pairs, hypothesis, reference, range(1, most + 1))
     logs = m.agg(F.sum(F.when(F.col("matched") > 0, F.log(F.col("matched") / F.col("hyp")))).alias("l"), F.count_if(F.col("matched") > 0).alias("n"), F.sum(F.when(F.col("order") == 1, F.col("hyp"))).alias("c"), F.sum(F.when(F.col("order") == 1, F.col("ref"))).alias("r"))
     return logs.select(F.when(F.col("n") < most, 0.0).otherwise(100 * F.exp(F.col("l") / most) * F.when(F.col("c") >= F.col("r"), 1.0).otherwise(F.exp(1 - F.col("r") / F.col("c")))).alias("bleu"))
 
 
-def chrf(pairs: DataFrame, key: str, hypothesis, reference, most: int = 6, beta: float = 2.0) -> DataFrame:
+def chrf(pairs: DataFrame, hypothesis, reference, most: int = 6, beta: float = 2.0) -> DataFrame:
     """Corpus chrF (0 to 100) of texts without white space: F score of mean character n-gram precision and recall."""
-    chars = lambda c: F.filter(F.split(F.regexp_replace(c, r"(?U)\s+", ""), ""), lambda x: x != "")
-    m = ngram_matches(pairs, key, chars(hypothesis), chars(reference), range(1, most + 1)).where("hyp > 0 and ref > 0")
+    chars = lambda c: F.translate(c, WS_CHARS, "")
+    m = ngram_matches(pairs, chars(hypothesis), chars(reference), range(1, most + 1)).where("hyp > 0 and ref > 0")
     means = m.agg(F.avg(F.col("matched") / F.col("hyp")).alias("p"), F.avg(F.col("matched") / F.col("ref")).alias("r"))
     b = beta * beta
     return means.select(F.when(F.col("p") + F.col("r") > 0, 100 * (1 + b) * F.col("p") * F.col("r") / (b * F.col("p") + F.col("r"))).otherwise(0.0).alias("chrf"))
 
 
-def cer(pages: DataFrame, hypothesis: str, gold: str) -> DataFrame:
-    """Character errors, characters and rate over all pages."""
-    got = pages.agg(F.sum(F.levenshtein(hypothesis, gold).cast("long")).alias("errors"), F.sum(F.length(gold).cast("long")).alias("chars"))
+def cer(pages: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
+    """Character errors, characters and rate of (keys, text) pages that have a gold page of the same keys."""
+    both = pages.select(*keys, F.coalesce("text", F.lit("")).alias("h")).join(gold.select(*keys, F.coalesce("text", F.lit("")).alias("g")), keys)
+    got = both.agg(F.sum(F.levenshtein("h", "g").cast("long")).alias("errors"), F.sum(F.length("g").cast("long")).alias("chars"))
     return got.withColumn("cer", F.when(F.col("chars") > 0, F.col("errors") / F.col("chars")))
 
 
+def model_scores(ratings: DataFrame) -> DataFrame:
+    """model, n_criteria and mean_alpha: the mean agreement over the criteria of each judged model's ratings, which have a
+    column ``model`` beside those of ``krippendorff_ordinal``."""
+    named = ratings.withColumn("criterion", F.struct("model", "criterion"))
+    alpha = krippendorff_ordinal(named).select("criterion.model", "alpha")
+    return alpha.groupBy("model").agg(F.count("*").alias("n_criteria"), F.avg("alpha").alias("mean_alpha"))
+
+
+def markdown_report(facts: DataFrame) -> DataFrame:
+    """report: one-row ``facts`` as a table of names and values."""
+    line = lambda c: F.concat(F.lit(f"| {c} | "), F.coalesce(F.col(c).cast("string"), F.lit("–")), F.lit(" |"))
+    return facts.select(F.concat_ws("\n", F.lit("| metric | value |"), F.lit("|-|-|"), *[line(c) for c in facts.columns]).alias("report"))
+
+
 def spell_fix(words: DataFrame, lexicon: DataFrame, most: int = 2) -> DataFrame:
     """word, fixed: the nearest lexicon word within ``most`` edits, ties to the more frequent and then the smaller.
 

@@ -101,9 +101,17 @@ def _nested_sentences(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else bracket_sentences(t))
 
 
-def split_classical(c) -> Column:
-    """Sentences with annotations protected.  Texts whose brackets do not nest stay in expressions; only
+def protect_ascii_parens(c) -> Column:
+    """ASCII parentheses as full-width ones, which are protected as annotations; cleaning folds them to ASCII before."""
+    return F.translate(c, "()", "（）")
+
+
+def split_classical(c, protect_parens: bool = False) -> Column:
+    """Sentences with annotations protected, on request ASCII parentheses, too; the latter come out as ASCII again.  Texts whose brackets do not nest stay in expressions; only
     nested ones go to Python.  Long sentences without any terminator fall back to glued lines."""
+    if protect_parens:
+        parts = split_classical(protect_ascii_parens(c))
+        return F.transform(parts, lambda s: F.translate(s, "（）", "()"))
     flat = _stripped(F.regexp_extract_all(c, F.lit(_flat_atoms()), F.lit(0)))
     nested = F.pandas_udf(_nested_sentences, ArrayType(StringType()))
     sentences = F.when(F.coalesce(c, F.lit("")).rlike(_NESTED), nested(F.when(c.rlike(_NESTED), c))).otherwise(flat)

@@ -82,12 +82,11 @@ def l2_norm(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(V.l2_normalize(scaled), lambda x: F.round(x, 6)).alias("v"))
 
 
-@query("""with e as (select label, vec_id, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as pos from embeddings where vec_id % 10 = 0),
+@query("""with e as (select label, vec_id, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as pos from embeddings),
 m as (select label, pos, avg(cast(x as double)) as x from e group by label, pos) select label, list(round(x, 6) order by pos) as v from m group by label""")
 def mean_pool(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").where("vec_id % 10 = 0")
-    per = e.groupBy("label").agg(V.mean_pool(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda m: m["embedding"])).alias("v"))
-    return per.select("label", F.transform("v", lambda x: F.round(x, 6)).alias("v"))
+    e = table(spark, sf_dir, "embeddings")
+    return V.mean_by(e, "label", "embedding").select("label", F.transform("embedding", lambda x: F.round(x, 6)).alias("v"))
 
 
 @query(f"with {SIDES_SQL} select s.idx, round(list_inner_product(s.v, t.v), 6) as score from sides s join sides t on s.idx = t.idx and s.side = 'src' and t.side = 'tgt'")
@@ -149,28 +148,28 @@ def expand_ranges(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", align.expand_range(text).alias("out"))
 
 
-_SENT = "sent as (select doc_id as idx, 1000 + doc_id as original, substring(text, 1, 20) as text from documents where doc_id % 13 <> 0)"
+_SENT = "sent as (select doc_id as idx, 1000 + doc_id as original, text from documents where doc_id % 13 <> 0)"
 _GATHERED = f"""{BEADS_SQL}, {_SENT}, m as (select bead, unnest(tgt_idx) as idx, unnest(range(1, len(tgt_idx) + 1)) as pos from beads),
 g as (select bead, string_agg(text, ' ' order by pos) as t, list(original order by pos) as o from m join sent using (idx) group by bead)"""
 
 
 @query(f"with {_GATHERED} select beads.bead, coalesce(t, '') as tgt, coalesce(o, []) as tgt_lines from beads left join g on g.bead = beads.bead")
 def gather_text(spark, sf_dir):
-    s = table(spark, sf_dir, "documents").where("doc_id % 13 <> 0").select(F.col("doc_id").alias("idx"), (F.col("doc_id") + 1000).alias("original"), F.substring("text", 1, 20).alias("text"))
+    s = table(spark, sf_dir, "documents").where("doc_id % 13 <> 0").select(F.col("doc_id").alias("idx"), (F.col("doc_id") + 1000).alias("original"), "text")
     return align.gather(beads(spark, sf_dir), s, "tgt_idx", "tgt").select("bead", "tgt", "tgt_lines")
 
 
 _TWO = "case when vec_id % 2 = 0 then [vec_id // 2] else [vec_id // 2, vec_id // 2 + 1] end"
 
 
-@query(f"""with {SIDES_SQL}, b as (select vec_id as bead, [vec_id // 2] as src_idx, {_TWO} as tgt_idx from embeddings where vec_id < 400),
+@query(f"""with {SIDES_SQL}, b as (select vec_id as bead, [vec_id // 2] as src_idx, {_TWO} as tgt_idx from embeddings),
 p as (select bead, 'src' as side, unnest(src_idx) as idx from b union all select bead, 'tgt', unnest(tgt_idx) from b),
 x as (select bead, p.side, unnest(v) as x, unnest(range(1, 65)) as pos from p join sides on sides.side = p.side and sides.idx = p.idx),
 m as (select bead, side, pos, avg(x) as x from x group by bead, side, pos)
 select s.bead, round(sum(s.x * t.x), 6) as score, round(sum(s.x * t.x) / sqrt(sum(s.x * s.x) * sum(t.x * t.x)), 6) as cosine from m s join m t on s.bead = t.bead and s.pos = t.pos and s.side = 'src' and t.side = 'tgt' group by s.bead""")
 def bead_scores(spark, sf_dir):
     two = F.expr("case when vec_id % 2 = 0 then array(vec_id div 2) else array(vec_id div 2, vec_id div 2 + 1) end")
-    b = table(spark, sf_dir, "embeddings").where("vec_id < 400").select(F.col("vec_id").alias("bead"), F.array(F.expr("vec_id div 2")).alias("src_idx"), two.alias("tgt_idx"))
+    b = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bead"), F.array(F.expr("vec_id div 2")).alias("src_idx"), two.alias("tgt_idx"))
     return align.bead_scores(b, embeddings(spark, sf_dir)).select("bead", F.round("score", 6).alias("score"), F.round("cosine", 6).alias("cosine"))
 
 
@@ -193,7 +192,7 @@ def low_score_pairs(spark, sf_dir):
 # -- the deliverable --------------------------------------------------------------------------
 
 PAIRS = """select doc_id, case when doc_id % 17 = 0 then ' ' when doc_id % 19 = 0 then null else text end as src,
-    concat(' ', substring(text, 1, 300), chr(10), chr(9), ' x') as tgt, cast(doc_id % 100 as double) / 100 as score from documents"""
+    concat(' ', text, chr(10), chr(9), ' x') as tgt, cast(doc_id % 100 as double) / 100 as score from documents"""
 _FLAT = f"""flat as (select doc_id, score, {{s}} as src, {{t}} as tgt from ({PAIRS})),
 judged as (select *, case when src = '' or tgt = '' then 'empty' when length(src) > 2000 or length(tgt) > 2000 then 'long' else 'kept' end as v from flat)""".format(
     **{k: f"regexp_replace(regexp_replace(coalesce({c}, ''), '{WS}+', ' ', 'g'), '^ | $', '', 'g')".replace("{", "{{").replace("}", "}}") for k, c in (("s", "src"), ("t", "tgt"))}
@@ -302,12 +301,14 @@ def bridge_coverage(spark, sf_dir):
     return c.withColumns({"coverage": F.round(F.col("matched") / F.col("with_entity"), 6), "of_all": F.round(F.col("matched") / F.col("pairs"), 6)})
 
 
-@query(f"""with {BEADS_SQL}, e as (select src_idx, tgt_idx, bead % 3 as entity from beads where bead % 2 = 0 and len(src_idx) > 0 and len(tgt_idx) > 0)
-select bead, entity from beads left join e on e.src_idx = beads.src_idx and e.tgt_idx = beads.tgt_idx where len(beads.src_idx) > 0 and len(beads.tgt_idx) > 0""")
+@query(f"""with {BEADS_SQL}, e as (select vec_id as idx, unnest(case vec_id % 4 when 0 then ['a' || label] when 1 then ['b' || label, 'c'] else []::varchar[] end) as entity from embeddings),
+m as (select bead, unnest(tgt_idx) as idx from beads), g as (select bead, list_sort(list(distinct entity)) as entities from m join e using (idx) group by bead)
+select beads.bead, coalesce(entities, []) as entities from beads left join g on g.bead = beads.bead where len(src_idx) > 0 and len(tgt_idx) > 0""")
 def pair_entity_join(spark, sf_dir):
-    b = align.two_sided(beads(spark, sf_dir))
-    e = b.where("bead % 2 = 0").select("src_idx", "tgt_idx", (F.col("bead") % 3).alias("entity"))
-    return b.join(e, ["src_idx", "tgt_idx"], "left").select("bead", "entity")
+    """Entities by sentence, collected for each pair."""
+    some = "explode(case vec_id % 4 when 0 then array(concat('a', label)) when 1 then array(concat('b', label), 'c') else array() end) as entity"
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("idx"), F.expr(some))
+    return align.pair_entities(align.two_sided(beads(spark, sf_dir)), e, "tgt_idx", "entities").select("bead", "entities")
 
 
 # -- metrics ----------------------------------------------------------------------------------
@@ -331,11 +332,11 @@ def krippendorff(spark, sf_dir):
 
 
 def _hyp(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("doc_id % 10 = 0")
-    return d.select("doc_id", F.substring("text", 1, 400).alias("ref"), F.replace(F.substring("text", 1, 380), F.lit(" the "), F.lit(" a ")).alias("hyp"))
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.col("text").alias("ref"), F.replace("text", F.lit(" the "), F.lit(" a ")).alias("hyp"))
 
 
-_HYP = "h as (select doc_id, substring(text, 1, 400) as ref, replace(substring(text, 1, 380), ' the ', ' a ') as hyp from documents where doc_id % 10 = 0)"
+_HYP = "h as (select doc_id, text as ref, replace(text, ' the ', ' a ') as hyp from documents)"
 
 
 def _grams(items: str, orders: int) -> str:
@@ -350,39 +351,72 @@ m as (select n, sum(least(h, r)) as matched, sum(h) as hyp, sum(r) as ref from c
 select round(100 * exp(sum(ln(matched / hyp)) / 4) * (select case when c >= r then 1.0 else exp(1 - r / c) end from (select hyp as c, ref as r from m where n = 1)), 6) as bleu from m""")
 def bleu(spark, sf_dir):
     words = lambda c: F.filter(F.split(F.regexp_replace(c, "[ \n]+", " "), " "), lambda x: x != "")
-    return evaluate.bleu(_hyp(spark, sf_dir), "doc_id", words(F.col("hyp")), words(F.col("ref"))).select(F.round("bleu", 6).alias("bleu"))
+    return evaluate.bleu(_hyp(spark, sf_dir), words(F.col("hyp")), words(F.col("ref"))).select(F.round("bleu", 6).alias("bleu"))
 
 
 @query(f"""with {_HYP}, {_grams("list_filter(string_split(regexp_replace({}, '[ \\n]+', '', 'g'), ''), lambda x: x <> '')", 6)},
 f as (select avg(matched / hyp) as p, avg(matched / ref) as r from m) select round(100 * 5 * p * r / (4 * p + r), 6) as chrf from f""")
 def chrf(spark, sf_dir):
-    return evaluate.chrf(_hyp(spark, sf_dir), "doc_id", F.col("hyp"), F.col("ref")).select(F.round("chrf", 6).alias("chrf"))
+    return evaluate.chrf(_hyp(spark, sf_dir), F.col("hyp"), F.col("ref")).select(F.round("chrf", 6).alias("chrf"))
 
 
-_ASCII = "regexp_replace(substring(text, 1, 300), '[^ -~]', '', 'g')"
+_ASCII = "regexp_replace(line, '[^ -~]', '', 'g')"
 
 
-@query(f"select cast(sum(levenshtein(h, g)) as bigint) as errors, cast(sum(length(g)) as bigint) as chars, round(sum(levenshtein(h, g)) / sum(length(g)), 6) as cer from (select replace(g, 'th', 't') as h, g from (select {_ASCII} as g from documents))")
+@query(f"""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(0, len(string_split(text, chr(10))))) as page from documents),
+g as (select doc_id, page, {_ASCII} as g from l), p as (select doc_id, page, replace(g, 'th', 't') as h from g where page % 9 <> 8)
+select cast(sum(levenshtein(h, g)) as bigint) as errors, cast(sum(length(g)) as bigint) as chars, round(sum(levenshtein(h, g)) / sum(length(g)), 6) as cer from p join g using (doc_id, page)""")
 def cer(spark, sf_dir):
-    gold = F.regexp_replace(F.substring("text", 1, 300), "[^ -~]", "")
-    p = table(spark, sf_dir, "documents").select(gold.alias("g")).withColumn("h", F.replace("g", F.lit("th"), F.lit("t")))
-    return evaluate.cer(p, "h", "g").withColumn("cer", F.round("cer", 6))
+    """Every line of every document is a page of its own; recognised pages meet gold ones by name."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("page", "line"))
+    gold = lines.select("doc_id", "page", F.regexp_replace("line", "[^ -~]", "").alias("text"))
+    pages = gold.where("page % 9 <> 8").withColumn("text", F.replace("text", F.lit("th"), F.lit("t")))
+    return evaluate.cer(pages, gold, ["doc_id", "page"]).withColumn("cer", F.round("cer", 6))
 
 
 _LEX = "lex as (select p_type as word, count(*) as n from (select lower(split_part(p_type, ' ', 1)) as p_type from part union all select lower(split_part(p_name, ' ', 1)) from part) where p_type <> '' group by 1)"
 
 
-@query(f"""with {_LEX}, w as (select distinct concat(substring(word, 1, 2), substring(word, 4), 'e') as word from lex where length(word) > 4),
+@query(f"""with {_LEX}, w as (select distinct concat(substring(word, 1, 2), substring(word, 4), 'e') as word from lex),
 d as (select w.word, lex.word as fixed, lex.n, levenshtein(w.word, lex.word) as d from w join lex on levenshtein(w.word, lex.word) <= 2)
 select word, fixed from (select *, row_number() over (partition by word order by d, n desc, fixed) as r from d) where r = 1""")
 def spell_fix(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     first = lambda c: F.lower(F.split_part(F.col(c), F.lit(" "), F.lit(1)))
     lex = p.select(first("p_type").alias("word")).unionByName(p.select(first("p_name").alias("word"))).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
-    words = lex.where(F.length("word") > 4).select(F.concat(F.substring("word", 1, 2), F.expr("substring(word, 4)"), F.lit("e")).alias("word")).distinct()
+    words = lex.select(F.concat(F.substring("word", 1, 2), F.expr("substring(word, 4)"), F.lit("e")).alias("word")).distinct()
     return evaluate.spell_fix(words, lex)
 
 
+@query()
+def model_scores(spark, sf_dir):
+    """Rows only: a mean of agreements; tested against a direct formula."""
+    table(spark, sf_dir, "labels").createOrReplaceTempView("_rated_labels")
+    rated = spark.sql(_RATED.replace("from labels", "from _rated_labels"))
+    models = F.explode(F.array(F.lit("m1"), F.lit("m2"))).alias("model")
+    moved = rated.select("*", models).withColumn("value", F.expr("if(model = 'm2' and rater = 2, 6 - value, value)"))
+    return evaluate.model_scores(moved).withColumn("mean_alpha", F.round("mean_alpha", 6))
+
+
+@query(f"""select concat('| metric | value |', chr(10), '|-|-|', chr(10), '| n_pairs | ', count(*), ' |', chr(10), '| kept | ', count(*) filter (score >= 0.5), ' |', chr(10), '| none | – |') as report from ({_SCORED})""")
+def report_markdown(spark, sf_dir):
+    s = scored(spark, sf_dir).agg(F.count("*").alias("n_pairs"), F.count_if(F.col("score") >= 0.5).alias("kept"), F.lit(None).cast("long").alias("none"))
+    return evaluate.markdown_report(s)
+
+
+@query(f"""with k as ({_DEDUP.replace("group by doc_id % 2, t", "and doc_id % 2 = 0 group by doc_id % 2, t")}) select cast(row_number() over (order by idx) - 1 as bigint) as line, idx, text from k""")
+def aligner_input(spark, sf_dir):
+    return align.aligner_input(table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("idx"), "text"))
+
+
+@query("select doc_id as idx from documents where doc_id % 10 = 3 and length(text) > 0 or doc_id % 10 = 7")
+def stale_embeddings(spark, sf_dir):
+    """Sentences that changed after they were embedded, or were not embedded."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), "text")
+    vectors = d.where("idx % 10 <> 7").select("idx", align.text_hash(F.expr("if(idx % 10 = 3, '', text)")).alias("text_hash"))
+    return align.stale(d, vectors).select("idx")
+
+
 @query(f"""select concat('{{"n_pairs":', count(*), ',"kept":', count(*) filter (score >= 0.5), ',"rounded_mean":', cast(round(avg(score) * 1000) as bigint), '}}') as report from ({_SCORED})""")
 def report_json(spark, sf_dir):
     s = scored(spark, sf_dir).agg(F.count("*").alias("n_pairs"), F.count_if(F.col("score") >= 0.5).alias("kept"), F.round(F.avg("score") * 1000).cast("long").alias("rounded_mean"))

@@ -124,7 +124,7 @@ def run(spark: SparkSession, docs: DataFrame, config: CorpusConfig, stage: str =
         "split": lambda: sentences(spark.read.parquet(f"{base}/prep")),
         "embed": lambda: embed(spark.read.parquet(f"{base}/split"), config, embedder),
         "align": lambda: align_rows(spark.read.parquet(f"{base}/embed"), config),
-        "export": lambda: export.deliverable(spark.read.parquet(f"{base}/align").withColumn("order", F.col("segment") * 4096 + F.col("bead")), "order", config.max_pair_chars),
+        "export": lambda: export.deliverable(spark.read.parquet(f"{base}/align").withColumn("order", F.col("segment") * 4096 + F.col("bead")), "order", config.max_pair_chars, span=1 << 26),
     }
     for name in ORDER:
         if stage == name or stage == "all" or (stage == "resume" and not manifest.done(name)):

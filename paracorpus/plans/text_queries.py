@@ -113,14 +113,14 @@ def rule_fix(spark, sf_dir):
 
 
 @query(f"""with n as (select doc_id, doc_id % 4 as k, {X.VOLUME} as v, {X.PAGE['duckdb']} as p from documents)
-select doc_id, case k when 0 then 'tap' || (4 + doc_id % 3) when 1 then 'tap' || (4 + doc_id % 3) else 'other_book_' || p end as volume,
+select doc_id, case k when 0 then 'tap' || (4 + doc_id % 3) when 1 then 'tap' || (4 + (doc_id + 1) % 3) else 'other_book_' || p end as volume,
     concat(v, '_', printf('%04d', p)) as image, concat(v, '_page') as image_key, p as image_page,
     case when k = 3 then 'a_b' else v end as text_volume, case when k = 3 then -1 else p end as text_page,
     case when k < 2 then 'tap' || (4 + doc_id % 3) end as pdf_volume, p as layout_page from n""")
 def parse_names(spark, sf_dir):
     d = docs(spark, sf_dir).select("doc_id", F.expr("doc_id % 4 as k"), F.expr(f"{X.VOLUME} as v"), F.expr(f"{X.PAGE['spark']} as p"))
     d = d.withColumn("n", F.expr("4 + doc_id % 3").cast("string"))
-    stem = F.when(F.col("k") == 0, F.concat(F.lit("Book TẬP "), "n")).when(F.col("k") == 1, F.concat(F.lit("book tap "), "n", F.lit(" x"))).otherwise(F.concat(F.lit("other book "), F.col("p")))
+    stem = F.when(F.col("k") == 0, F.concat(F.lit("Book TẬP "), "n")).when(F.col("k") == 1, F.concat(F.lit("book tap "), "n", F.lit(" tập "), F.expr("4 + (doc_id + 1) % 3"))).otherwise(F.concat(F.lit("other book "), F.col("p")))
     pdf = F.when(F.col("k") == 0, F.concat(F.lit("Book TẬP "), "n")).when(F.col("k") == 1, F.concat(F.lit("tập"), "n")).otherwise(F.lit("other"))
     key, page = T.page_of_image(F.format_string("%s_page_%04d", "v", "p"))
     volume, text_page = T.page_of_text(F.when(F.col("k") == 3, F.lit("a_b")).otherwise(F.format_string("%s_page_%04d", "v", "p")))
@@ -130,10 +130,10 @@ def parse_names(spark, sf_dir):
     )
 
 
-@query("select doc_id, concat('data:image/', case when doc_id % 2 = 0 then 'jpeg' else 'png' end, ';base64,', base64(encode(substring(text, 1, 400)))) as url from documents")
+@query("select doc_id, concat('data:image/', case when doc_id % 2 = 0 then 'jpeg' else 'png' end, ';base64,', base64(encode(text))) as url from documents")
 def b64_url(spark, sf_dir):
     name = F.when(F.expr("doc_id % 2 = 0"), F.lit("a.JPG")).otherwise(F.lit("a.tiff"))
-    return docs(spark, sf_dir).select("doc_id", T.data_url(F.encode(F.substring("text", 1, 400), "utf-8"), name).alias("url"))
+    return docs(spark, sf_dir).select("doc_id", T.data_url(F.encode("text", "utf-8"), name).alias("url"))
 
 
 def _exploded(sql_list: str, source: str = "documents") -> str:
@@ -222,6 +222,12 @@ def split_stats(spark, sf_dir):
     return s.groupBy("lang").agg(F.count("*").alias("sentences"), F.count_if((F.col("pos") == 1)).alias("paragraphs"), F.round(F.avg(F.length("s")), 6).alias("avg_chars"))
 
 
+@query(f"select doc_id, cast(length(m) as bigint) as raw_chars, cast(length(c) as bigint) as clean_chars, round(length(c) / length(m), 6) as ratio from (select doc_id, {X.MARKED} as m, {_normalized(X.MARKED)} as c from documents)")
+def clean_ratio(spark, sf_dir):
+    d = docs(spark, sf_dir).select("doc_id", F.length(F.expr(X.MARKED)).cast("long").alias("raw_chars"), F.length(T.normalize(F.expr(X.MARKED))).cast("long").alias("clean_chars"))
+    return d.withColumn("ratio", F.round(F.col("clean_chars") / F.col("raw_chars"), 6))
+
+
 @query(f"with {NORMAL_SENTENCES_SQL} select lang, cast(max(length(s)) as bigint) as longest, median(length(s)) as middle, cast(count(*) filter (length(s) > 200) as bigint) as over_200 from sents group by lang")
 def length_profile(spark, sf_dir):
     s = han_sentences(docs(spark, sf_dir)).select("lang", F.length("s").alias("n"))
@@ -276,10 +282,10 @@ def resume_anti_join(spark, sf_dir):
     return pages.pending(p, p.where("page % 4 = 0")).select("doc_id", "volume", "page")
 
 
-@query(f"select volume, page, case when page % 4 = 0 then concat('fixed ', substring(text, 1, 50)) else substring(text, 1, 50) end as text from ({_PAGES})")
+@query(f"select volume, page, case when page % 4 = 0 then concat('fixed ', text) else text end as text from ({_PAGES})")
 def coalesce_source(spark, sf_dir):
     """Corrected pages where there are any, raw ones elsewhere."""
-    p = page_rows(docs(spark, sf_dir)).select("volume", "page", F.substring("text", 1, 50).alias("text"))
+    p = page_rows(docs(spark, sf_dir)).select("volume", "page", "text")
     return pages.prefer(p.where("page % 4 = 0").withColumn("text", F.concat(F.lit("fixed "), "text")), p, ["volume", "page"], whole=False)
 
 

@@ -6,6 +6,7 @@ import itertools
 import zipfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from paracorpus import plugins
@@ -112,8 +113,8 @@ def test_krippendorff_known_value(spark):
 def test_perfect_overlap(spark):
     df = spark.createDataFrame([(1, "the cat sat on the mat")], "k long, t string")
     words = F.split("t", " ")
-    assert abs(evaluate.bleu(df, "k", words, words).first().bleu - 100) < 1e-9
-    assert abs(evaluate.chrf(df, "k", F.col("t"), F.col("t")).first().chrf - 100) < 1e-9
+    assert abs(evaluate.bleu(df, words, words).first().bleu - 100) < 1e-9
+    assert abs(evaluate.chrf(df, F.col("t"), F.col("t")).first().chrf - 100) < 1e-9
 
 
 def test_correction_keeps_failed_chunks(spark):
@@ -124,7 +125,60 @@ def test_correction_keeps_failed_chunks(spark):
 
     got = plugins.correct(df, broken).first()
     assert (got.text, got.failed) == ("x\n\ny", 1)
-    assert plugins.rotate(3, 2, lambda i: i) == 2
+
+
+def test_endpoints_take_over_and_answers_are_guarded(spark):
+    def dead(content):
+        raise ConnectionError("down")
+
+    pool = plugins.Endpoints([dead, lambda c: f"b{c}", lambda c: f"c{c}"])
+    assert {pool(i)[0] for i in range(6)} == {"b", "c"} and pool.load[0][0] >= 1
+    with pytest.raises(RuntimeError):
+        plugins.Endpoints([dead, dead])(1)
+    with pytest.raises(ValueError):
+        plugins.Endpoints([])
+    assert plugins.repeats_itself("a b c d " * 100) and not plugins.repeats_itself(" ".join(map(str, range(400))))
+    images = spark.createDataFrame([("tap4", i, f"page {i}".encode()) for i in range(1, 8)] + [("tap4", 9, b"loop " * 200)], "volume string, page int, content binary")
+    got = {r.page: (r.text, r.error) for r in plugins.recognise(images, [dead, lambda c: [c.decode()]], concurrency=3).collect()}
+    assert all(got[i] == (f"page {i}", None) for i in range(1, 8)) and got[9][0] is None and "failed" in got[9][1]
+    assert plugins.reachable(["http://127.0.0.1:9"])["http://127.0.0.1:9"] != ""
+
+
+def test_rasterised_pages(spark):
+    files = spark.createDataFrame([("tap4", b"12345"), ("tap5", b"1")], "volume string, content binary")
+    draw = lambda content, page, dpi: f"{page}@{dpi}".encode()
+    got = plugins.rasterise(files, draw, len, 200, first=2, offset=1).collect()
+    assert sorted((r.volume, r.page, bytes(r.content)) for r in got) == [("tap4", 2, b"2@200"), ("tap4", 3, b"3@200")]
+    assert plugins.rasterise(files, draw, len).count() == 6
+
+
+def test_ngram_counts_against_brute_force():
+    import collections
+    import random
+
+    rnd = random.Random(1)
+    for _ in range(50):
+        h, r = ([rnd.choice("abc") for _ in range(rnd.randint(0, 12))] for _ in "hr")
+        for n, matched, nh, nr in evaluate.clipped_matches(h, r, range(1, 5)):
+            a, b = (collections.Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1)) for x in (h, r))
+            assert (matched, nh, nr) == (sum((a & b).values()), sum(a.values()), sum(b.values()))
+
+
+def test_lineage_and_places(spark):
+    s = spark.createDataFrame([(0, "one two"), (1, "two two"), (2, "one two")], "idx long, text string")
+    v = s.where("idx < 2").select("idx", align.text_hash(F.expr("if(idx = 1, 'old', text)")).alias("text_hash"), F.array(F.lit(1.0)).alias("embedding"))
+    assert [r.idx for r in align.with_embeddings(s, v).collect()] == [0]
+    assert sorted(r.idx for r in align.stale(s, v).collect()) == [1, 2]
+    assert align.dedup_keep_first(s).count() == 2 and align.dedup_keep_first(s, dedup=False).count() == 3
+    with pytest.raises(Exception, match="no index or range"):
+        spark.createDataFrame([("1,x",)], "t string").select(align.expand_range(F.col("t"))).collect()
+    assert spark.createDataFrame([("1,x",)], "t string").select(align.expand_range(F.col("t"), strict=False).alias("r")).first().r == [1]
+
+
+def test_mean_agreement_of_models(spark):
+    rows = [(m, "c", u, r, (u + (r if m == "b" else 0)) % 3) for m in "ab" for u in range(6) for r in range(2)]
+    got = {r.model: (r.n_criteria, r.mean_alpha) for r in evaluate.model_scores(spark.createDataFrame(rows, "model string, criterion string, unit int, rater int, value int")).collect()}
+    assert got["a"] == (1, 1.0) and got["b"][1] < 0.5
 
 
 def test_resumable_ingest(spark, tmp_path):

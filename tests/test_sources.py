@@ -43,3 +43,36 @@ def test_matrix_image_and_json_scans(spark, tmp_path):
     (tmp_path / "p.jsonl").write_text('{"src":"a","score":0.5,"src_idx":[1]}\n\n')
     r = files.read_pairs(spark, str(tmp_path / "p.jsonl")).where("score is not null").first()
     assert (r.src, r.tgt, r.src_idx) == ("a", "", [1])
+
+
+def test_folder_sinks(spark, tmp_path):
+    p = spark.createDataFrame([("tap4", 1, "a"), ("tap4", 12, None)], "volume string, page int, text string")
+    files.write_page_texts(p, str(tmp_path / "pages"))
+    files.write_page_texts(p, str(tmp_path / "layout"), newline=False)
+    assert (tmp_path / "pages/tap4_page_0001.txt").read_text() == "a\n" and (tmp_path / "layout/tap4_page_0012.txt").read_text() == ""
+    assert files.read_pages(spark, str(tmp_path / "pages")).count() == 2
+    files.write_images(p.select("volume", "page", p.volume.cast("binary").alias("content")), str(tmp_path / "images"))
+    assert (tmp_path / "images/tap4_0012.png").read_bytes() == b"tap4"
+    v = spark.createDataFrame([(i, [float(i), 0.5]) for i in range(5)], "idx long, embedding array<float>")
+    files.write_npy(v, str(tmp_path / "npy"), rows=3)
+    assert np.concatenate([np.load(x) for x in sorted((tmp_path / "npy").glob("*.npy"))]).tolist() == [[i, 0.5] for i in range(5)]
+    files.write_aligner_files(v.selectExpr("idx", "concat('s', idx, chr(10), 'x') as text", "embedding"), str(tmp_path / "side"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "side/text")).collect()].count("s3 x") == 1
+    raw = spark.read.parquet(str(tmp_path / "side/vectors")).orderBy("idx").collect()
+    assert [np.frombuffer(r.raw, "<f4").tolist() for r in raw] == [[i, 0.5] for i in range(5)]
+    files.write_report({"n": 2, "x": None}, str(tmp_path / "r"))
+    assert json.loads((tmp_path / "r/report.json").read_text()) == {"n": 2, "x": None} and "| x | – |" in (tmp_path / "r/report.md").read_text()
+
+
+def test_volume_and_parallel_scans(spark, tmp_path):
+    (tmp_path / "tap5.txt").write_text("five")
+    (tmp_path / "tap4.txt").write_text("four")
+    (tmp_path / "tap4_page_0001.txt").write_text("page")
+    assert [(r.volume, r.text) for r in files.read_volumes(spark, str(tmp_path)).collect()] == [("tap4", "four"), ("tap5", "five")]
+    (tmp_path / "a").write_text("x\ny\n")
+    (tmp_path / "b").write_text("1\n2\n")
+    got = files.read_parallel(spark, str(tmp_path / "a"), str(tmp_path / "b")).orderBy("idx").collect()
+    assert [tuple(r) for r in got] == [(0, "x", "1"), (1, "y", "2")]
+    (tmp_path / "b").write_text("1\n")
+    with pytest.raises(ValueError):
+        files.read_parallel(spark, str(tmp_path / "a"), str(tmp_path / "b"))
