@@ -135,6 +135,12 @@ def test_toxicity_learns_and_ignores_held_out_labels(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values()) and got[1000].score == got[1001].score == got[1002].score
 
 
+def test_words_of_every_character():
+    for i in [*range(0x500), 0x2019, 0x4E2D, 0x1F600]:
+        for t in (f"aB{chr(i)}cD 1_é", f"{chr(i)}\u0153 x"):
+            assert toxicity.words_of(t) == re.findall(r"[^\W\d_]+", t.lower()), hex(i)
+
+
 def test_toxicity_against_kneser_ney_by_hand(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcé"), rng.integers(1, 6)))
@@ -144,37 +150,37 @@ def test_toxicity_against_kneser_ney_by_hand(spark):
     known = toxicity.training_labels(spark.createDataFrame(labels, "doc_id long, toxic int"))
     kinds = {r.doc_id: int(r.toxic) if not r.curve else 2 for r in known.collect()}
     assert kinds[3] in (1, 2) and not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in kinds) and {0, 1, 2} <= set(kinds.values())
-    model = toxicity.Model(toxicity.letter_counts(docs, known, 4, 1 << 22).toPandas(), 4, 2, 1 << 22)
-    grams = [collections.Counter() for _ in range(3)]
+    counted = known.where("not curve")
+    kept = {r.doc_id for r in toxicity._perhaps(docs, counted).collect()}
+    assert kept >= {i for i, k in kinds.items() if k < 2} and len(kept) < 100
+    discounts = (3.0, 2.0)
+    model = toxicity.Model(toxicity.beginnings(toxicity.word_counts(docs, known), discounts).toPandas(), discounts)
+    times, types = [collections.Counter(), collections.Counter()], set()
     for i, t, _ in rows:
         for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
-            s = "<<<<" + w + ">"
-            grams[kinds.get(i, 2)].update(s[j - n + 1 : j + 1] for j in range(4, len(s)) for n in range(1, 5))
-
-    def p(k, s):
-        n = len(s)
-        if not n:
-            return 1 / 256
-        if n <= 2:
-            longer = {g for c in grams for g in c if len(g) == n + 1}
-            count = lambda g: len({x for x in longer if x[1:] == g})
-            every = {g for c in grams for g in c if len(g) == n}
-        else:
-            count, every = grams[k].__getitem__, {g for g in grams[k] if len(g) == n}
-        same = [count(g) for g in every if g[:-1] == s[:-1]]
-        if not sum(same):
-            return p(k, s[1:])
-        return max(0, count(s) - 0.75) / sum(same) + 0.75 * sum(x > 0 for x in same) / sum(same) * p(k, s[1:])
-
-    for w in ("vilest", "ab", "écab", "zz"):
-        s = "<<<<" + w + ">"
-        want = sum(np.log(p(1, s[j - 3 : j + 1])) - np.log(p(0, s[j - 3 : j + 1])) for j in range(4, len(s)))
-        assert abs(model.ratios([w])[0] - want) < 1e-4, w
+            types.add(w + toxicity.END)
+            if kinds.get(i, 2) < 2:
+                times[kinds[i]][w + toxicity.END] += 1
+    count = [lambda g, c=c: sum(n for w, n in c.items() if w.startswith(g)) for c in times]
+
+    def p(k, g):
+        letters = {w[: len(g)] for w in types if w[: len(g) - 1] == g[:-1] and len(w) >= len(g)}
+        shared = sum(w.startswith(g) for w in types) / sum(w.startswith(g[:-1]) for w in types)
+        total = count[k](g[:-1])
+        return max(0, count[k](g) - discounts[k]) / total + sum(min(count[k](x), discounts[k]) for x in letters) / total * shared if total else shared
+
+    for w in ("vilest", "ab", "écab", "vile", "a"):
+        s = w + toxicity.END
+        # a letter that no word has there has no shared probability either, and tells nothing
+        want = sum(np.log(p(1, s[:j])) - np.log(p(0, s[:j])) for j in range(1, len(s) + 1) if p(0, s[:j]) and p(1, s[:j]))
+        if s in types:
+            assert abs(model.ratios([w])[0] - want) < 1e-9, w
+    assert model.ratios(["vilest"])[0] > 1 and "vilest" + toxicity.END in types or "vile" + toxicity.END in types
     x, n = model.measures(["ab vilest ab", "", "!"])
-    assert n.tolist() == [3, 0, 0] and abs(x[0] - model.ratios(["ab", "ab", "vilest"]).sum() / 3) < 1e-9
+    assert n.tolist() == [3, 0, 0] and abs(x[0] - np.maximum(model.ratios(["ab", "ab", "vilest"]) - 1, 0).sum() / 3**0.5) < 1e-9
     assert toxicity.scored(docs.limit(0), model).count() == 0 and toxicity.train(docs.limit(0), spark.createDataFrame(labels, "doc_id long, toxic int")).slope == 0
     long = "vile " * 100_000 + "x" * 300_000
-    assert model.scores([long, None or ""]).shape == (2,) and model.measures([long])[1][0] == 100_001
+    assert model.scores([long, ""]).shape == (2,) and model.measures([long])[1][0] == 100_001
 
 
 def test_toxicity_without_labels(spark):
