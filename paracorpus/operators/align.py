@@ -150,44 +150,81 @@ def align_segment(x: np.ndarray, y: np.ndarray, x_len=None, y_len=None, max_alig
     """Beads (i, a, j, b, score) of the best monotone alignment of two vector sequences.
 
     Each bead takes a and b rows with a + b <= max_align; its value is the inner product of mean vectors,
-    less the mean similarity to what surrounds it (margin) and scaled by how even the lengths are
+    less the mean similarity to the rows just outside it (margin) and scaled by how even the lengths are
     (length_penalty), times a + b so that large beads gain nothing by taking in weak rows.
-    ``band``: for each row of x the (low, high) cells of y to visit."""
+    ``band``: for each row of x the (low, high) cells of y to visit.  A row of cells is one step of array
+    operations, and only the last ``max_align`` rows and two bytes a visited cell are held."""
     n, m = len(x), len(y)
     px, py = _pooled_prefix(x), _pooled_prefix(y)
     sx, sy = (np.concatenate([[0], np.cumsum(v if v is not None else np.ones(k))]) for v, k in ((x_len, n), (y_len, m)))
     kinds = sorted(((a, b) for a in range(1, max_align) for b in range(1, max_align) if a + b <= max_align), key=lambda t: (t != (1, 1), sum(t), t))
-    base = float((px[-1] / max(1, n)) @ (py[-1] / max(1, m))) if margin and n and m else 0.0
-    value = np.full((n + 1, m + 1), -np.inf)
-    step = np.zeros((n + 1, m + 1, 2), np.int16)
-    value[0, 0] = 0.0
-
-    def similarity(i, a, j, b):
-        return float((px[i] - px[i - a]) / a @ ((py[j] - py[j - b]) / b))
+    rows: dict[int, tuple[int, np.ndarray]] = {}
+    steps: list[tuple[int, np.ndarray]] = []
+
+    def cells(i: int, low: int, high: int) -> np.ndarray:
+        """Values of row i from column low to high; unvisited ones are -inf."""
+        out = np.full(high - low + 1, -np.inf)
+        if i in rows:
+            at, v = rows[i]
+            a, b = max(low, at), min(high, at + len(v) - 1)
+            if a <= b:
+                out[a - low : b - low + 1] = v[a - at : b - at + 1]
+        return out
+
+    def scores(i: int, a: int, j: np.ndarray, b: int) -> np.ndarray:
+        """Bead values, for columns j >= b, of rows i - a to i."""
+        u, v = (px[i] - px[i - a]) / a, (py[j] - py[j - b]) / b
+        s = v @ u
+        if margin:
+            around, count = np.zeros(len(j)), np.zeros(len(j))
+            for k in (i - a - 1, i):
+                if 0 <= k < n:
+                    around, count = around + v @ x[k], count + 1
+            for k in (j - b - 1, j):
+                there = (k >= 0) & (k < m)
+                around, count = around + np.where(there, y[np.clip(k, 0, m - 1)] @ u, 0.0), count + there
+            s = s - around / np.maximum(count, 1)
+        if length_penalty:
+            p, q = sx[i] - sx[i - a], sy[j] - sy[j - b]
+            s = np.where(s > 0, s * np.log2(1 + np.minimum(p, q) / np.maximum(np.maximum(p, q), 1e-9)), s)
+        return s
 
     for i in range(n + 1):
         low, high = band[i] if band is not None else (0, m)
-        for j in range(max(0, low), min(m, high) + 1):
-            best, how = value[i, j], (0, 0)
-            for a, b in kinds:
-                if a <= i and b <= j and value[i - a, j - b] > -np.inf:
-                    s = similarity(i, a, j, b) - base
-                    if length_penalty:
-                        p, q = sx[i] - sx[i - a], sy[j] - sy[j - b]
-                        s *= np.log2(1 + min(p, q) / max(p, q, 1e-9)) if s > 0 else 1
-                    v = value[i - a, j - b] + s * (a + b)
-                    if v > best + 1e-12:
-                        best, how = v, (a, b)
-            for a, b in ((1, 0), (0, 1)):
-                if a <= i and b <= j and value[i - a, j - b] + skip > best + 1e-12:
-                    best, how = value[i - a, j - b] + skip, (a, b)
-            value[i, j], step[i, j] = best, how
+        low, high = max(0, low), min(m, high)
+        j = np.arange(low, high + 1)
+        best, how = np.full(len(j), -np.inf), np.zeros((len(j), 2), np.int8)
+        if i == 0:
+            best[j == 0] = 0.0
+        for a, b in kinds:
+            if a > i:
+                continue
+            from_ = cells(i - a, low - b, high - b)
+            at = np.flatnonzero((j >= b) & (from_ > -np.inf))
+            if len(at):
+                v = from_[at] + scores(i, a, j[at], b) * (a + b)
+                won = at[v > best[at] + 1e-12]
+                best[won], how[won] = v[v > best[at] + 1e-12], (a, b)
+        if i:
+            v = cells(i - 1, low, high) + skip
+            won = v > best + 1e-12
+            best[won], how[won] = v[won], (1, 0)
+        # runs of skipped targets: the best cell to the left, less what the way from it costs
+        free = best - skip * j
+        left = np.concatenate([[-np.inf], np.maximum.accumulate(free)[:-1]]) + skip * j if len(j) else best
+        won = left > best + 1e-12
+        best[won], how[won] = left[won], (0, 1)
+        rows[i] = (low, best)
+        rows.pop(i - max_align, None)
+        steps.append((low, how))
     out, i, j = [], n, m
     while i or j:
-        a, b = map(int, step[i, j])
+        low, how = steps[i]
+        a, b = map(int, how[j - low]) if 0 <= j - low < len(how) else (0, 0)
         if not (a or b):  # outside the band: skip to it
             a, b = (1, 0) if i else (0, 1)
-        out.append((i - a, a, j - b, b, similarity(i, a, j, b) if a and b else 0.0))
+        similarity = float((px[i] - px[i - a]) / a @ ((py[j] - py[j - b]) / b)) if a and b else 0.0
+        out.append((i - a, a, j - b, b, similarity))
         i, j = i - a, j - b
     return out[::-1]
 
@@ -245,9 +282,12 @@ def align(sentences: DataFrame, passes: int = 1, max_align: int = 5, top: int =
             y = np.zeros((len(y), 1))
         band = None
         if passes > 1 and len(x) and len(y):
-            d = x @ y.T
-            best = np.argsort(-d, axis=1, kind="stable")[:, :top]
-            band = chain_band(increasing_chain([(i, int(j), float(d[i, j])) for i in range(len(x)) for j in best[i]]), len(x), len(y), win)
+            anchors = []
+            for at in range(0, len(x), 256):  # a strip of the product at a time
+                d = x[at : at + 256] @ y.T
+                best = np.argsort(-d, axis=1, kind="stable")[:, :top]
+                anchors += [(at + i, int(j), float(d[i, j])) for i in range(len(d)) for j in best[i]]
+            band = chain_band(increasing_chain(anchors), len(x), len(y), win)
         beads = align_segment(x, y, *(s.length.to_numpy(float) for s in sides), max_align, skip, band, margin, length_penalty)
         ids = [s.idx.tolist() for s in sides]
         return pd.DataFrame([(int(pdf.segment.iloc[0]), k, ids[0][i : i + a], ids[1][j : j + b], s) for k, (i, a, j, b, s) in enumerate(beads)], columns=["segment", "bead", "src_idx", "tgt_idx", "score"])

@@ -32,6 +32,7 @@ class CorpusConfig:
     segment_rows: int = 400
     ocr_backend: str = "none"
     correct: bool = False
+    is_split: bool = False
     run_id: str = ""
     extra: Mapping[str, str] = field(default_factory=dict)
 
@@ -41,8 +42,9 @@ class CorpusConfig:
         for name, kind in (("out", str), ("subset", int), ("subset_offset", int), ("dpi", int), ("aligner", str), ("min_score", float), ("max_pair_chars", int), ("embed_dim", int), ("segment_rows", int), ("ocr_backend", str), ("run_id", str)):
             if (value := env.get(f"CORPUS_{name.upper()}")) not in (None, ""):
                 made = replace(made, **{name: kind(value)})
-        if env.get("CORPUS_CORRECT", "") not in ("", "0"):
-            made = replace(made, correct=True)
+        for name in ("correct", "is_split"):
+            if env.get(f"CORPUS_{name.upper()}", "") not in ("", "0"):
+                made = replace(made, **{name: True})
         if made.aligner not in ("monotone", "twopass"):
             raise ValueError(f"unknown aligner {made.aligner}")
         return made
@@ -73,6 +75,25 @@ class Manifest:
         out.write(bytearray(json.dumps(facts).encode()))
         out.close()
 
+    def snapshot(self, suffix: str, names: tuple[str, ...] = ORDER, dry_run: bool = False) -> list[str]:
+        """Rename finished outputs to ``name`` + ``suffix`` and forget their stages, so that another run does not collide.
+        Missing outputs and taken names are left alone, so it may run again.  Says what it did, or would do."""
+        said = []
+        for name in names:
+            a, b = (self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}{x}") for x in ("", suffix))
+            fs = a.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if not fs.exists(a):
+                said.append(f"missing: {name}")
+            elif fs.exists(b):
+                said.append(f"taken: {name}{suffix}")
+            else:
+                said.append(f"{name} -> {name}{suffix}")
+                if not dry_run:
+                    fs.rename(a, b)
+                    at, fs = self._at(name)
+                    fs.delete(at, False)
+        return said
+
     def clear_from(self, stage: str) -> None:
         """Forget a stage and all after it, as when its inputs are swapped."""
         for name in ORDER[ORDER.index(stage) :]:
@@ -88,11 +109,18 @@ def prep(docs: DataFrame, config: CorpusConfig) -> DataFrame:
     return docs.select("doc", "side", clean.alias("text"))
 
 
-def sentences(clean: DataFrame) -> DataFrame:
-    """(side, idx, doc, text) with dense numbers a side."""
+def sentences(clean: DataFrame, is_split: bool = False) -> DataFrame:
+    """(side, idx, doc, text) with dense numbers a side; with ``is_split`` each line is a sentence already."""
+    if is_split:
+        lines = clean.select("doc", "side", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("doc", "side", "pos", T.strip(F.col("line")).alias("text"))
+        rows = lines.where("text <> ''").select("doc", "side", F.lit(0).alias("para"), "pos", "text")
+        return _numbered(rows)
     paras = clean.select("doc", "side", F.posexplode(split.paragraphs(F.col("text"))).alias("para", "p"))
     cut = F.when(F.col("side") == "src", split.split_classical(F.col("p"))).otherwise(split.split_viet(F.col("p")))
-    rows = paras.select("doc", "side", "para", F.posexplode(cut).alias("pos", "text"))
+    return _numbered(paras.select("doc", "side", "para", F.posexplode(cut).alias("pos", "text")))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
     numbered = [ids.dense_index(rows.where(F.col("side") == s), "doc", ["para", "pos"]) for s in ("src", "tgt")]
     return numbered[0].unionByName(numbered[1]).select("side", F.col("idx").cast("long").alias("idx"), "doc", "text")
 
@@ -121,7 +149,7 @@ def run(spark: SparkSession, docs: DataFrame, config: CorpusConfig, stage: str =
     manifest, base = Manifest(spark, config.base), config.base
     made: dict[str, Callable[[], DataFrame]] = {
         "prep": lambda: prep(docs, config),
-        "split": lambda: sentences(spark.read.parquet(f"{base}/prep")),
+        "split": lambda: sentences(spark.read.parquet(f"{base}/prep"), config.is_split),
         "embed": lambda: embed(spark.read.parquet(f"{base}/split"), config, embedder),
         "align": lambda: align_rows(spark.read.parquet(f"{base}/embed"), config),
         "export": lambda: export.deliverable(spark.read.parquet(f"{base}/align").withColumn("order", F.col("segment") * 4096 + F.col("bead")), "order", config.max_pair_chars, span=1 << 26),

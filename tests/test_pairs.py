@@ -152,6 +152,15 @@ def test_rasterised_pages(spark):
     assert plugins.rasterise(files, draw, len).count() == 6
 
 
+def test_margin_prefers_what_stands_out():
+    x = np.eye(4)[[0, 1, 2, 3]]
+    y = x + 0.6  # everything is a little like everything
+    plain, local = (align.align_segment(x, y, margin=m) for m in (False, True))
+    assert [(a, b) for _, a, _, b, _ in local] == [(1, 1)] * 4 and all(abs(s - 1.6) < 1e-9 for *_, s in local)
+    assert sum(a for _, a, *_ in plain) == 4
+    assert align.align_segment(np.zeros((0, 2)), np.ones((2, 2))) == [(0, 0, 0, 1, 0.0), (0, 0, 1, 1, 0.0)]
+
+
 def test_ngram_counts_against_brute_force():
     import collections
     import random
@@ -203,4 +212,10 @@ def test_stage_runner(spark, tmp_path):
     assert [(r.han_sentence, r.viet_sentence) for r in got] == [("甲子年。", "甲子年。"), ("乙丑月!", "乙丑月！"), ("丙寅日?", "丙寅日？")]
     assert stages.Manifest(spark, config.base).done("export")
     assert stages.run(spark, docs, config, "resume").count() == 3
+    lines = spark.createDataFrame([(0, "src", "a b。c\n\n d "), (0, "tgt", "x")], "doc long, side string, text string")
+    assert [(r.side, r.idx, r.text) for r in stages.sentences(lines, True).orderBy("side", "idx").collect()] == [("src", 0, "a b。c"), ("src", 1, "d"), ("tgt", 0, "x")]
+    manifest = stages.Manifest(spark, config.base)
+    assert manifest.snapshot("_old", dry_run=True) == [f"{n} -> {n}_old" for n in stages.ORDER] and manifest.done("export")
+    assert manifest.snapshot("_old", ("align", "export")) == ["align -> align_old", "export -> export_old"] and not manifest.done("export") and manifest.done("embed")
+    assert manifest.snapshot("_old", ("export",)) == ["missing: export"]
     assert stages.CorpusConfig.from_env({"CORPUS_SUBSET": "2", "CORPUS_SUBSET_OFFSET": "1"}).base == "corpus-out_sub2_off1"
