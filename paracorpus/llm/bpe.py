@@ -23,8 +23,8 @@ import regex
 from tokenizers import Tokenizer
 
 END = "Ā"
-#: Bytes of each cache of a worker before it is emptied, at ``ENTRY`` bytes for the objects of an entry.
-CACHE, ENTRY = 192_000_000, 200
+#: Bytes of a worker's caches by white-space chunk and by word before one is emptied, at ``ENTRY`` bytes for the objects of an entry.
+CACHE, WORD_CACHE, ENTRY = 320_000_000, 96_000_000, 200
 #: Seconds without a task after which a worker drops its caches, which would else lie beside the next stage's memory.
 IDLE = 2.0
 #: White space of the tokenizers' patterns (Unicode White_Space); ``str.split`` also takes U+001C..U+001F.
@@ -378,9 +378,11 @@ class Bpe:
 
 
 class Cache(dict):
-    """A dictionary that knows about how many bytes its entries take."""
+    """A dictionary that knows about how many bytes its entries take, ``most`` before it is emptied."""
 
-    taken = 0
+    def __init__(self, most: int):
+        super().__init__()
+        self.taken, self.most = 0, most
 
     def add(self, keys, values) -> None:
         """New entries; values are bytes or numbers."""
@@ -393,7 +395,7 @@ class Cache(dict):
         self.taken = 0
 
     def bound(self) -> None:
-        if self.taken > CACHE:
+        if self.taken > self.most:
             self.clear()
 
 
@@ -401,7 +403,7 @@ class Caches:
     """Caches of a worker that outlive its tasks, but not a pause between them."""
 
     def __init__(self):
-        self.words, self.chunks, self.decoded = Cache(), Cache(), Cache()
+        self.words, self.chunks, self.decoded = Cache(WORD_CACHE), Cache(CACHE), Cache(CACHE // 2)
         self.lock, self.timer = threading.Lock(), None
 
     def forget(self) -> None:
