@@ -9,6 +9,7 @@ stands before that token.
 
 from __future__ import annotations
 
+import array
 import contextlib
 import ctypes
 import functools
@@ -345,12 +346,13 @@ class Bpe:
             out[at[i]] = x
         return out
 
-    def count_words(self, words: list[str]) -> list[int]:
-        """Token counts of many pre-tokens: the prefix recurrence runs over all of them, position by position."""
-        out = [0] * len(words)
+    def prefixes(self, words: list[str]) -> list:
+        """``prefix_counts`` of many pre-tokens, from the first byte on: the recurrence runs over all of them, position by
+        position.  Element i is the count of the first i + 1 bytes."""
+        out: list = [b""] * len(words)
         for i, w in enumerate(words):
             if len(w) > WIDE:
-                out[i] = self.prefix_counts(w)[-1]
+                out[i] = array.array("I", self.prefix_counts(w)[1:])
         order = sorted((i for i, w in enumerate(words) if 0 < len(w) <= WIDE), key=lambda i: -len(words[i]))
         if not order:
             return out
@@ -372,8 +374,9 @@ class Bpe:
                 hit, t = hit[ok], t[ok]
                 last[i, hit], count[i, hit] = t, count[j, hit] + 1
                 todo = todo[last[i, todo] < 0]
-        for i, c in zip(order, count[sizes, np.arange(len(order))].tolist(), strict=True):
-            out[i] = c
+        held = np.ascontiguousarray(count[1:].T).astype(np.uint8).tobytes()  # a short word has no more tokens than bytes
+        for k, (i, size) in enumerate(zip(order, sizes.tolist(), strict=True)):
+            out[i] = held[k * n : k * n + size]
         return out
 
 
@@ -451,10 +454,9 @@ class ByteCounter(Caches):
         self.words.bound()
         split = {c: [c] if c[1:].isalpha() and c[0] == " " or c.isalpha() else _BYTE.findall(c) for c in chunks if c not in self.chunks}
         words = list({w for ws in split.values() for w in ws}.difference(self.words))
-        counts = self.bpe.count_words([w.encode("utf-8", "replace").decode("latin-1") for w in words])
-        self.words.add(words, counts)
+        self.words.add(words, self.bpe.prefixes([w.encode("utf-8", "replace").decode("latin-1") for w in words]))
         get = self.words.__getitem__
-        self.chunks.add(split, [get(ws[0]) if len(ws) == 1 else sum(map(get, ws)) for ws in split.values()])
+        self.chunks.add(split, [get(ws[0])[-1] if len(ws) == 1 else sum(get(w)[-1] for w in ws) for ws in split.values()])
 
     def cut(self, text: str) -> list[str]:
         """Consecutive chunks of a text; chunk borders are pre-token borders."""
@@ -484,19 +486,27 @@ class ByteCounter(Caches):
     def count(self, text: str) -> int:
         return sum(self.count_many([text])[1][0])
 
+    def prefixes(self, chunk: str) -> list:
+        """Counts at every byte of a chunk that was counted, from the stored counts of its pre-tokens."""
+        if chunk in self.bpe.special:  # part of a special string is ordinary text
+            return [*self.bpe.prefix_counts(chunk)[1:-1], 1]
+        with self.lock:
+            missing = [w for w in _BYTE.findall(chunk) if w not in self.words]
+            self.words.add(missing, self.bpe.prefixes([w.encode("utf-8", "replace").decode("latin-1") for w in missing]))
+            held = [self.words[w] for w in _BYTE.findall(chunk)]
+        out, total = [], 0
+        for counts in held:
+            out += [total + c for c in counts]
+            total += counts[-1]
+        return out
+
     def fitting(self, pieces: list[str], counts: list[int], limit: int) -> int:
-        """Bytes of the longest prefix of at most ``limit`` tokens, inside pre-tokens by their prefix counts."""
+        """Bytes of the longest prefix of at most ``limit`` tokens, inside pre-tokens by their stored prefix counts."""
         total = n = 0
         for p, c in zip(pieces, counts, strict=True):
             if total + c > limit:
-                for w in _BYTE.findall(p) if p not in self.bpe.special else []:
-                    counted = self.bpe.prefix_counts(w.encode("utf-8", "replace").decode("latin-1"))
-                    fit = max(i for i, k in enumerate(counted) if total + k <= limit)
-                    n += fit
-                    if fit < len(counted) - 1:
-                        return n
-                    total += counted[-1]
-                return n
+                fits = [i for i, k in enumerate(self.prefixes(p)) if total + k <= limit]
+                return n + (fits[-1] + 1 if fits else 0)
             total += c
             n += len(p.encode("utf-8", "replace"))
         return n

@@ -5,7 +5,7 @@ together for compatibility (a pair is compatible if its text encodes to it); wor
 are merged exactly.  White-space chunks are independent of each other, so chunks are coded once a worker.
 
 Defined cases: a null, empty or white-space text has no tokens and decodes to the empty string; special
-strings are single tokens; repeated rows give repeated rows; an empty table gives no rows; other columns
+strings are single tokens; very long texts are coded whole, words of over 32 bytes merged exactly at once; repeated rows give repeated rows; an empty table gives no rows; other columns
 of the input are ignored.
 """
 

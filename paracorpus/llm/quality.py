@@ -4,8 +4,8 @@ All measures are SQL expressions over the text column; no user function, no shuf
 expressions need are bound once with a one-element ``transform``, so the optimiser cannot repeat them.
 Repeated five-word windows are found with a hash set; only texts that have some sort their windows.
 
-Defined cases: a null or empty text has no words, fails the base rule and is not kept; repeated rows give
-repeated rows; an empty table gives no rows; ``quality_filter`` returns all columns of its input, whatever
+Defined cases: a null or empty text has no words, fails the base rule and is not kept; very long texts are measured
+whole; repeated rows give repeated rows; an empty table gives no rows; ``quality_filter`` returns all columns of its input, whatever
 their names, and ``op5`` only its own.
 """
 

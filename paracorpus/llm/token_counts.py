@@ -3,10 +3,11 @@
 The recurrence stores the exact count of every prefix of a pre-token: its last token is the only one
 that is compatible with the last token of what stands before it.  Pre-tokens add up, so counts, budget
 tests and truncation points come from one pass and nothing is encoded again.  Each worker keeps the
-counts of distinct pre-tokens in bounded caches.
+prefix counts of distinct pre-tokens in bounded caches, and drops them when it is idle.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; special strings are single tokens, as the
-library reads them; lone surrogates cannot occur in Spark strings; repeated rows give repeated rows;
+library reads them; lone surrogates cannot occur in Spark strings; very long texts are counted whole, and pre-tokens
+of over 32 bytes one by one; repeated rows give repeated rows;
 an empty table gives no rows; other columns of the input are ignored.
 """
 
@@ -62,5 +63,28 @@ def prefix_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ends array<long>, counts array<long>")
 
 
+def every_prefix(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id and counts array<int>: element i is the exact token count of the first i + 1 bytes, pre-tokens being those of the
+    whole text; any truncation or budget question is a look or a binary search, and nothing is encoded again."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def run(batches):
+        counter = bpe.byte_counter(path)
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            for a, b in slabs(texts):
+                lists, totals = counter.count_many(texts[a:b])
+                out = []
+                for chunks, counts in zip(lists, totals, strict=True):
+                    found, before = [], 0
+                    for chunk, count in zip(chunks, counts, strict=True):
+                        found += [before + c for c in counter.prefixes(chunk)]
+                        before += count
+                    out.append(found)
+                yield pa.RecordBatch.from_arrays([ids[a:b], pa.array(out, pa.list_(pa.int32()))], ["doc_id", "counts"])
+
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, "doc_id long, counts array<int>")
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))

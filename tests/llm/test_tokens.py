@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 import zlib
 
@@ -74,7 +75,23 @@ def test_prefix_counts_of_every_prefix():
     for _ in range(200):
         w = "".join(rnd.choice("theringonaed") for _ in range(rnd.randint(1, 14)))
         assert b.prefix_counts(w) == [0, *(len(b.exact(w[:i])) for i in range(1, len(w) + 1))]
-        assert b.count_words([w]) == [len(b.exact(w))]
+        assert list(b.prefixes([w])[0]) == b.prefix_counts(w)[1:]
+
+
+def test_counts_at_every_byte(docs):
+    b = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in token_counts.every_prefix(docs.where("doc_id is null or doc_id between 2 and 60")).collect():
+        text = "no id" if r.doc_id is None else texts()[r.doc_id] or ""
+        want, before = [], 0
+        parts = [x for i, p in enumerate(re.split(r"(<\|endoftext\|>)", text)) for x in ([p] if i % 2 else bpe._BYTE.findall(p))]
+        for w in parts:
+            latin = w.encode().decode("latin-1")
+            counts = [len(b.exact(latin[:i])) for i in range(1, len(latin) + 1)]
+            if w in b.special:
+                counts[-1] = 1
+            want += [before + c for c in counts]
+            before += counts[-1]
+        assert list(r.counts) == want, text[:40]
 
 
 def test_prefix_table_answers_budgets(docs):
