@@ -1,8 +1,13 @@
 """Training-data pipeline over ``documents``: five stages, each on all rows that the one before it kept.
 
 Rows of the first four stages have the columns of ``documents``; ``n_chars`` follows the text.  The last
-stage returns packed pieces.  ``ORACLE_SQL`` is None: fingerprints, byte spans and token ids are
+stage returns packed pieces.  ``ORACLE_SQL`` is None: shingle sets, repeated passages and token ids are
 outside SQL, so the stages are tested against brute-force versions in ``tests/llm``.
+
+Defined cases of every stage: null, empty and word-free texts fail the quality rules and would pass the later stages
+unchanged; of rows that repeat a doc_id one stays after the second stage; rows without doc_id cannot be told apart, so they
+all stay and lose no passages; very long texts are taken whole; an empty table gives no rows; further columns are kept,
+whatever their names.
 """
 
 from __future__ import annotations
