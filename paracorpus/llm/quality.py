@@ -59,7 +59,10 @@ _WORDS = r"array_remove(split(translate(t, '\t\n\u000b\u000c\r', '     '), ' ',
 _STARTS = "sort_array(filter(transform(s, (e, i) -> if(get(s, i - 1).w = e.w or get(s, i + 1).w = e.w, e.i, null)), x -> x is not null))"
 _COVERED = f"aggregate({_STARTS}, named_struct('n', 0, 'end', 0), (a, x) -> named_struct('n', a.n + 5 - greatest(0, a.end - x), 'end', x + 5), a -> a.n)"
 _WINDOWS = "transform(slice(w, 1, greatest(size(w) - 4, 0)), (x, i) -> concat_ws(' ', slice(w, i + 1, 5)))"
-_REPEATED = f"transform(array({_WINDOWS}), v -> if(size(array_distinct(v)) = size(v), 0, transform(array(sort_array(transform(v, (x, i) -> named_struct('w', x, 'i', i)))), s -> {_COVERED})[0]))[0]"
+#: Equal windows have equal hashes, so a text without equal hashes has no equal windows; the others build them.
+_HASHES = "transform(slice(w, 1, greatest(size(w) - 4, 0)), (x, i) -> xxhash64(x, get(w, i + 1), get(w, i + 2), get(w, i + 3), get(w, i + 4)))"
+_SORTED = f"transform(array(sort_array(transform({_WINDOWS}, (x, i) -> named_struct('w', x, 'i', i)))), s -> {_COVERED})[0]"
+_REPEATED = f"transform(array({_HASHES}), v -> if(size(array_distinct(v)) = size(v), 0, {_SORTED}))[0]"
 _LINES = r"filter(split(t, '\n', -1), x -> x rlike '[^\\x20\\x09-\\x0D]')"
 _MEASURES = f"""transform(array({_WORDS}), w -> named_struct(
     'n_words', cast(size(w) as bigint),
