@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from .. import plugins
 from ..functions import text as T
-from ..operators import align, export, ids, split
+from ..operators import align, export, ids, pages, split
+from ..sources import files
+from ..sources.files import stash
 
 ORDER = ("prep", "split", "embed", "align", "export")
 
@@ -45,6 +47,8 @@ class CorpusConfig:
         for name in ("correct", "is_split"):
             if env.get(f"CORPUS_{name.upper()}", "") not in ("", "0"):
                 made = replace(made, **{name: True})
+        if made.ocr_backend not in ("none", "images", "documents"):
+            raise ValueError(f"unknown OCR backend {made.ocr_backend}")
         if made.aligner not in ("monotone", "twopass"):
             raise ValueError(f"unknown aligner {made.aligner}")
         return made
@@ -101,6 +105,24 @@ class Manifest:
             fs.delete(path, False)
 
 
+def ocr(scans: DataFrame, config: CorpusConfig, engines, renderer=None, count=None, corrector=None) -> tuple[DataFrame, DataFrame]:
+    """Recognised pages (volume, page, text, failed) and failed ones (volume, page, error) of (volume, page, content) images, or
+    of (volume, content) documents that ``renderer`` draws first, by the configured backend; corrected if configured."""
+    if config.ocr_backend == "none":
+        raise ValueError("no OCR backend is configured")
+    images = scans if config.ocr_backend == "images" else plugins.rasterise(scans, renderer, count, config.dpi, config.subset, config.subset_offset)
+    seen = stash(plugins.recognise(images, engines), "recognised")  # each page is asked for once
+    good = seen.where("error is null").drop("error")
+    return plugins.correct(good, corrector if config.correct else None), seen.where("error is not null").drop("text")
+
+
+def import_layout(spark: SparkSession, source: str, target: str) -> int:
+    """Layout files of a finished OCR run as page texts below ``target``; the number of pages."""
+    rendered = stash(files.read_layout(spark, source).select("volume", "page", pages.render_blocks("blocks").alias("text")), "layout")
+    files.write_page_texts(rendered, target, newline=False)
+    return rendered.count()
+
+
 def prep(docs: DataFrame, config: CorpusConfig) -> DataFrame:
     """(doc, side, text): source texts cleaned, targets as they are; subsets cut by characters."""
     clean = F.when(F.col("side") == "src", T.normalize(F.col("text"))).otherwise(F.col("text"))

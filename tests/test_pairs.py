@@ -161,6 +161,35 @@ def test_margin_prefers_what_stands_out():
     assert align.align_segment(np.zeros((0, 2)), np.ones((2, 2))) == [(0, 0, 0, 1, 0.0), (0, 0, 1, 1, 0.0)]
 
 
+def test_ocr_by_backend(spark):
+    files_ = spark.createDataFrame([("tap4", b"abc")], "volume string, content binary")
+    config = stages.CorpusConfig.from_env({"CORPUS_OCR_BACKEND": "documents", "CORPUS_DPI": "200", "CORPUS_CORRECT": "1", "CORPUS_SUBSET": "2"})
+
+    def engine(content):
+        if content.startswith(b"2"):
+            raise ValueError("unreadable")
+        return [content.decode()]
+
+    good, bad = stages.ocr(files_, config, engine, lambda c, p, dpi: f"{p}@{dpi}".encode(), len, lambda prompt: prompt.split("---")[1].strip() + "!")
+    assert [(r.volume, r.page, r.text) for r in good.collect()] == [("tap4", 1, "1@200!")]
+    assert [(r.page, "unreadable" in r.error) for r in bad.collect()] == [(2, True)]
+    with pytest.raises(ValueError):
+        stages.ocr(files_, stages.CorpusConfig(), engine)
+    with pytest.raises(ValueError):
+        stages.CorpusConfig.from_env({"CORPUS_OCR_BACKEND": "other"})
+
+
+def test_layout_import(spark, tmp_path):
+    import json
+
+    from paracorpus.plans import import_layout
+
+    (tmp_path / "tập 5").mkdir()
+    (tmp_path / "tập 5" / "b_3_res.json").write_text(json.dumps({"parsing_res_list": [{"block_label": "text", "block_content": "one", "block_order": 1, "block_id": 0}]}))
+    assert import_layout.main(["--source", str(tmp_path), "--target", str(tmp_path / "out")]) == 0
+    assert (tmp_path / "out/tap5_page_0003.txt").read_text() == "one"
+
+
 def test_ngram_counts_against_brute_force():
     import collections
     import random
