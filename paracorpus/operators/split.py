@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -117,3 +117,10 @@ def split_classical(c, protect_parens: bool = False) -> Column:
     sentences = F.when(F.coalesce(c, F.lit("")).rlike(_NESTED), nested(F.when(c.rlike(_NESTED), c))).otherwise(flat)
     plain = lambda s: (F.length(s) > MAX_LENGTH) & s.contains("\n") & ~s.rlike(f"[{TERMINATORS}]")
     return F.flatten(F.transform(sentences, lambda s: F.when(plain(s), greedy_merge(s)).otherwise(F.array(s))))
+
+
+def chapter_segments(lines: DataFrame, doc: str, pos: str, line: str, shorter: int = 60) -> DataFrame:
+    """``lines`` with ``segment``: lines of fewer than ``shorter`` characters are headings, and a running count of them within
+    the document numbers its segments."""
+    so_far = Window.partitionBy(doc).orderBy(pos)
+    return lines.withColumn("segment", F.sum((F.length(line) < shorter).cast("long")).over(so_far))

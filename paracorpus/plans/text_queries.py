@@ -203,11 +203,8 @@ def split_classical(spark, sf_dir):
 select doc_id, cast(pos as bigint) as pos, cast(sum(case when length(line) < 60 then 1 else 0 end) over (partition by doc_id order by pos) as bigint) as segment from l""")
 def chapter_segments(spark, sf_dir):
     """Short lines are headings; a running sum of heading flags is the segment."""
-    from pyspark.sql import Window
-
     lines = docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    return lines.select("doc_id", (F.col("pos") + 1).cast("long").alias("pos"), F.sum((F.length("line") < 60).cast("long")).over(w).alias("segment"))
+    return split.chapter_segments(lines, "doc_id", "pos", "line").select("doc_id", (F.col("pos") + 1).cast("long").alias("pos"), "segment")
 
 
 @query(f"with {NORMAL_SENTENCES_SQL} select doc_id, cast(para as bigint) as para, cast(pos as bigint) as pos, cast(row_number() over (order by doc_id, para, pos) - 1 as bigint) as idx from sents")

@@ -191,3 +191,44 @@ def rasterise(files: DataFrame, renderer: Callable[[bytes, int, int], bytes], co
 def gazetteer(column, entries: list[str]):
     """Entities of a fixed list that a text contains."""
     return F.filter(F.array(*[F.lit(e) for e in entries]), lambda e: F.contains(column, e))
+
+
+def judge(pairs: DataFrame, key: str, raters: dict[str, Callable[[str, str], str]], criteria: tuple[str, ...]) -> DataFrame:
+    """unit, rater, criterion, value: each rater answers a pair with a JSON object of whole numbers from 1 to 5 by criterion;
+    anything else is null, and an answer that is no JSON object is null for all criteria."""
+    import json
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for unit, src, tgt in zip(pdf[key], pdf["src"], pdf["tgt"], strict=True):
+                for name, rater in raters.items():
+                    try:
+                        answer = json.loads(rater(src, tgt))
+                    except Exception:  # a model that fails or rambles has no opinion
+                        answer = {}
+                    for c in criteria:
+                        v = answer.get(c) if isinstance(answer, dict) else None
+                        rows.append((unit, name, c, v if type(v) is int and 1 <= v <= 5 else None))
+            frame = pd.DataFrame(rows, columns=["unit", "rater", "criterion", "value"])
+            yield frame.assign(value=frame["value"].astype("Int32"))
+
+    return pairs.select(key, "src", "tgt").mapInPandas(run, "unit long, rater string, criterion string, value int")
+
+
+def round_trip(pairs: DataFrame, forth: Callable[[list[str]], list[str]], back: Callable[[list[str]], list[str]], column: str = "src", batch: int = 32) -> DataFrame:
+    """``pairs`` with ``hyp``: ``column`` translated forth and back, in batches; texts whose translation fails are null."""
+
+    def run(batches):
+        for pdf in batches:
+            out: list[str | None] = []
+            texts = pdf[column].fillna("").tolist()
+            for at in range(0, len(texts), batch):
+                some = texts[at : at + batch]
+                try:
+                    out += back(forth(some))
+                except Exception:  # noqa: BLE001
+                    out += [None] * len(some)
+            yield pdf.assign(hyp=out)
+
+    return pairs.mapInPandas(run, pairs.schema.add("hyp", "string"))

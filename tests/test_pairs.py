@@ -190,6 +190,20 @@ def test_layout_import(spark, tmp_path):
     assert (tmp_path / "out/tap5_page_0003.txt").read_text() == "one"
 
 
+def test_judges_and_round_trips(spark):
+    pairs = spark.createDataFrame([(1, "a", "b"), (2, None, "d")], "k long, src string, tgt string")
+    raters = {"good": lambda s, t: '{"fluency": 4, "accuracy": 9}', "broken": lambda s, t: "no idea"}
+    got = sorted((r.unit, r.rater, r.criterion, r.value) for r in plugins.judge(pairs, "k", raters, ("fluency", "accuracy")).where("value is not null").collect())
+    assert got == [(1, "good", "fluency", 4), (2, "good", "fluency", 4)] and plugins.judge(pairs, "k", raters, ("fluency", "accuracy")).count() == 8
+
+    def failing(texts):
+        raise TimeoutError
+
+    up = lambda xs: [x.upper() for x in xs]
+    assert sorted(r.hyp for r in plugins.round_trip(pairs, up, lambda xs: [x + "!" for x in xs]).collect()) == ["!", "A!"]
+    assert [r.hyp for r in plugins.round_trip(pairs, up, failing).collect()] == [None, None]
+
+
 def test_ngram_counts_against_brute_force():
     import collections
     import random
