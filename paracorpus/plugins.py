@@ -231,4 +231,4 @@ def round_trip(pairs: DataFrame, forth: Callable[[list[str]], list[str]], back:
                     out += [None] * len(some)
             yield pdf.assign(hyp=out)
 
-    return pairs.mapInPandas(run, pairs.schema.add("hyp", "string"))
+    return pairs.mapInPandas(run, pairs.select("*").schema.add("hyp", "string"))
