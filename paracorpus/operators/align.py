@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..functions.text import newline_to_space
+from ..sources.files import stash
 from .ids import dense_index
 
 MIN_SCORE = 0.5
@@ -108,11 +109,9 @@ def bead_scores(beads: DataFrame, embeddings: DataFrame, key: str = "bead") -> D
     return both.withColumn("score", score).withColumn("cosine", F.col("score") / (V.norm(F.col("_s")) * V.norm(F.col("_t")))).drop("_s", "_t")
 
 
-def top_k(src: DataFrame, tgt: DataFrame, k: int, block: int = 2048) -> DataFrame:
-    """idx, rank, tgt_idx, score: the k targets of largest inner product of each source.
-
-    Sources and targets are cut into blocks and each pair of blocks is one matrix product; only the best
-    k of a pair leave it.  Ties go to the smaller target."""
+def _products(src: DataFrame, tgt: DataFrame, k: int, block: int, back: bool = False) -> DataFrame:
+    """back, idx, tgt_idx, score: the k best targets of each source in each pair of blocks, one matrix product a pair; with
+    ``back`` also the k best sources of each target, from the same product."""
     n_src, n_tgt = (df.count() // block + 1 for df in (src, tgt))
     cut = lambda df, n, name: df.select("idx", "embedding", F.pmod(F.xxhash64("idx"), F.lit(n)).cast("int").alias(name))
     lists = lambda n: F.array(*[F.lit(i) for i in range(n)]) if n <= 64 else F.sequence(F.lit(0), F.lit(n - 1))
@@ -120,22 +119,40 @@ def top_k(src: DataFrame, tgt: DataFrame, k: int, block: int = 2048) -> DataFram
     right = cut(tgt, n_tgt, "b").withColumn("a", F.explode(lists(n_src)))
 
     def product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        y = y.sort_values("idx")
+        x, y = x.sort_values("idx"), y.sort_values("idx")
+        kinds = {"back": "bool", "idx": "int64", "tgt_idx": "int64", "score": "float64"}
         if x.empty or y.empty:
-            return pd.DataFrame({"idx": [], "tgt_idx": [], "score": []}).astype({"idx": "int64", "tgt_idx": "int64", "score": "float64"})
+            return pd.DataFrame({c: [] for c in kinds}).astype(kinds)
         d = np.stack(x.embedding.to_numpy()).astype(float) @ np.stack(y.embedding.to_numpy()).astype(float).T
+        i, j = x.idx.to_numpy(), y.idx.to_numpy()
         best = np.argsort(-np.round(d, 12), axis=1, kind="stable")[:, :k]
-        return pd.DataFrame({"idx": np.repeat(x.idx.to_numpy(), best.shape[1]), "tgt_idx": y.idx.to_numpy()[best].ravel(), "score": np.take_along_axis(d, best, 1).ravel()})
+        out = [pd.DataFrame({"back": False, "idx": np.repeat(i, best.shape[1]), "tgt_idx": j[best].ravel(), "score": np.take_along_axis(d, best, 1).ravel()})]
+        if back:
+            best = np.argsort(-np.round(d.T, 12), axis=1, kind="stable")[:, :k]
+            out.append(pd.DataFrame({"back": True, "idx": i[best].ravel(), "tgt_idx": np.repeat(j, best.shape[1]), "score": np.take_along_axis(d.T, best, 1).ravel()}))
+        return pd.concat(out)
+
+    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(product, "back boolean, idx long, tgt_idx long, score double")
+
 
-    near = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(product, "idx long, tgt_idx long, score double")
-    rank = F.row_number().over(Window.partitionBy("idx").orderBy(F.desc(F.round("score", 12)), "tgt_idx"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k)
+def _ranked(near: DataFrame, of: str, other: str, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(of).orderBy(F.desc(F.round("score", 12)), other))
+    return near.drop("back").withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def top_k(src: DataFrame, tgt: DataFrame, k: int, block: int = 2048) -> DataFrame:
+    """idx, rank, tgt_idx, score: the k targets of largest inner product of each source.
+
+    Sources and targets are cut into blocks and each pair of blocks is one matrix product; only the best
+    k of a pair leave it.  Ties go to the smaller target."""
+    return _ranked(_products(src, tgt, k, block), "idx", "tgt_idx", k)
 
 
-def mutual_nearest(src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Pairs that are each other's nearest."""
-    forth = top_k(src, tgt, 1).select(F.col("idx").alias("src_idx"), "tgt_idx", "score")
-    back = top_k(tgt, src, 1).select(F.col("idx").alias("tgt_idx"), F.col("tgt_idx").alias("src_idx"))
+def mutual_nearest(src: DataFrame, tgt: DataFrame, block: int = 2048) -> DataFrame:
+    """Pairs that are each other's nearest; both directions come from one product."""
+    near = stash(_products(src, tgt, 1, block, back=True), "nearest")
+    forth = _ranked(near.where("not back"), "idx", "tgt_idx", 1).select(F.col("idx").alias("src_idx"), "tgt_idx", "score")
+    back = _ranked(near.where("back"), "tgt_idx", "idx", 1).select("tgt_idx", F.col("idx").alias("src_idx"))
     return forth.join(back, ["src_idx", "tgt_idx"])
 
 
