@@ -189,6 +189,33 @@ def test_toxicity_without_labels(spark):
     assert [r.predicted for r in toxicity.scored(docs, toxicity.train(docs, none)).collect()] == [0]
 
 
+def test_toxicity_keeps_all_beginnings_at_any_size_and_joins_the_rest(spark):
+    rng = np.random.default_rng(7)
+    common = [f"w{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    vile = [f"vile{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]  # each is rare
+    rows = [(i, " ".join([*rng.choice(common, 30), *(rng.choice(vile, 2) if i % 5 == 0 else [])])) for i in range(3000)] + [(4000, "vileaa!"), (4000, "vileaa!"), (4001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    known = toxicity.training_labels(labels)
+    words = toxicity.word_counts(docs, known).groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    d = (3.0, 3.0)
+    whole = toxicity.Model(toxicity.beginnings(words, d).toPandas(), d)
+    names = sorted({w for _, t in rows for w in toxicity.words_of(t or "")})
+    want = dict(zip(toxicity._keys(names).view(np.int64).tolist(), whole.excess(names), strict=True))
+    got = {r.key: r.excess for r in toxicity.excesses(words, d).collect()}
+    assert set(got) == {k for k, x in want.items() if x > 0} and all(abs(x - want[k]) < 1e-9 for k, x in got.items())
+    scores = []
+    for near in (1 << 20, 5, 0):  # all are broadcast, some, none
+        model = toxicity.train(docs, labels, near=near)
+        assert (model.rest is None) == (near > 5) and len(model.keys) == min(near, len(got)) and (model.rest is None or model.rest.count() == len(got) - near)
+        scores.append(sorted((r.doc_id, round(r.score, 9), r.predicted) for r in toxicity.scored(docs, model).collect()))
+    assert scores[0] == scores[1] == scores[2] and len(scores[0]) == len(rows)
+    assert np.mean([p == (i % 5 == 0) for i, _, p in scores[0] if i < 3000]) > 0.99
+    curve = toxicity.training_labels(labels, 100)
+    n = curve.where("curve").count()
+    assert 0 < n < 200 and curve.where("not curve").count() == curve.count() - n  # what does not fit the curve is counted
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(8)
