@@ -245,6 +245,26 @@ def test_neighbours(vectors):
     assert [r.vec_id for r in by[400]] == list(range(300, 310))  # ties go to the smaller id
 
 
+def test_neighbours_both_ways_come_once_and_go_to_spark_s_blocks(spark):
+    rng, n, k, blocks = np.random.default_rng(2), 60, 4, 3
+    ids = np.concatenate([np.arange(-30, n - 32), [2**62, -(2**63)]])
+    at = dict(enumerate(ids.tolist()))
+    lists = [[(float(abs(i - j)), at[j], bool(rng.integers(0, 8) == 0)) for j in sorted(rng.choice([x for x in range(n) if x != i], 5, replace=False), key=lambda j, i=i: (abs(i - j), at[j]))] for i in range(n)]
+    rows = [(at[i], [(d, w) for d, w, _ in x], [f for *_, f in x]) for i, x in enumerate(lists)]
+    graph = spark.createDataFrame(rows, "node long, found array<struct<d:double,w:long>>, fresh array<boolean>").withColumn("block", nn_descent._block("node", blocks)).select("block", "node", "found", "fresh")
+    home = {r.node: r.block for r in graph.collect()}
+    assert nn_descent._homes(ids, blocks).tolist() == [home[i] for i in ids.tolist()]
+    want = {i: {} for i in at.values()}
+    for v in at.values():
+        back = sorted((d, at[i], f) for i, x in enumerate(lists) for d, w, f in x if w == v)[:k]
+        for _, w, f in [*next(x for i, x in enumerate(lists) if at[i] == v), *back]:
+            want[v][w] = want[v].get(w, False) or f
+    pointed = graph.groupBy("block").applyInArrow(nn_descent._pointed(k, blocks), "home int, to array<long>, of array<long>, d array<double>, new array<boolean>")
+    around = graph.groupBy("block").cogroup(pointed.groupBy("home")).applyInArrow(nn_descent._around(k, blocks), "block int, node long, around array<struct<w:long,new:boolean,home:int>>").collect()
+    assert {r.node: sorted((x.w, x.new) for x in r.around) for r in around} == {i: sorted(x.items()) for i, x in want.items() if any(x.values())}
+    assert all(r.block == home[r.node] and x.home == home[x.w] for r in around for x in r.around)
+
+
 def test_search_goes_on_until_all_of_the_beam_is_expanded(spark):
     chain = spark.createDataFrame([(i, [(1.0, j) for j in (i - 1, i + 1) if 0 <= j < 18]) for i in range(18)], nn_descent.LIST)
     vectors = spark.createDataFrame([(i, [float(i)]) for i in range(18)], "node long, vec array<float>")
