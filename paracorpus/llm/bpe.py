@@ -20,6 +20,7 @@ import threading
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -45,6 +46,8 @@ def _byte_chars() -> dict[str, str]:
 
 #: Longest pre-token, in bytes, that goes through the vectorised code; longer ones are rare and go one by one.
 WIDE = 32
+#: Words of about one length that are encoded together, so that their matrices have little padding.
+BLOCK = 16_384
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(1099511628211)
 _POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(256, _BASE)]))
@@ -75,9 +78,10 @@ class Table:
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         at = self._slot(keys)
-        out = np.where(self.keys[at] == keys, self.values[at], -1)
+        same, held = self.keys[at] == keys, self.values[at]
+        out = np.where(same, held, -1)
         # only occupied slots of another key can have sent this key further
-        left = np.flatnonzero((out < 0) & (self.values[at] >= 0))
+        left = np.flatnonzero(~same & (held >= 0))
         for step in range(1, self.probes):
             if not len(left):
                 break
@@ -252,8 +256,18 @@ class Bpe:
         get, mask = self.pairs.get, (1 << 20) - 1
         listed = distinct.tolist()
         found = list(map(get, listed))
-        for i, ok in enumerate(found):
-            if ok is None:
+        new = [i for i, ok in enumerate(found) if ok is None]
+        texts = [self.texts[listed[i] >> 20] + self.texts[listed[i] & mask] for i in new]
+        short = [(i, t) for i, t in zip(new, texts, strict=True) if len(t) <= WIDE]
+        if short:
+            keys = distinct[[i for i, _ in short]]
+            both = _id_bytes(np.stack([keys >> 20, keys & mask], 1), np.full(len(keys), 2))
+            if len(self.pairs) * ENTRY > CACHE:
+                self.pairs.clear()
+            for (i, _), merged, two in zip(short, self.merge_many([t for _, t in short]), both, strict=True):
+                found[i] = self.pairs[listed[i]] = merged == two
+        for i, t in zip(new, texts, strict=True):
+            if len(t) > WIDE:
                 found[i] = self.compatible(listed[i] >> 20, listed[i] & mask)
         return np.array(found, bool)[back] if found else np.zeros(0, bool)
 
@@ -269,15 +283,18 @@ class Bpe:
         while len(rows):
             stuck = rows
             for n in range(min(self.longest, codes.shape[1]), 0, -1):
-                some = stuck[at[stuck] + n <= sizes[stuck]]
+                open_ = at[stuck] + n <= sizes[stuck]
+                some = stuck[open_]
                 if not len(some):
                     continue
                 found = self.token_table.get(prefix[some, at[some] + n] - prefix[some, at[some]] * _POWERS[n])
-                hit, found = some[found >= 0], found[found >= 0]
-                out[hit, count[hit]] = found
+                known = found >= 0
+                hit = some[known]
+                out[hit, count[hit]] = found[known]
                 count[hit] += 1
                 at[hit] += n
-                stuck = stuck[~np.isin(stuck, hit, assume_unique=True)]
+                open_[open_] = known
+                stuck = stuck[~open_]
             count[stuck], at[stuck] = 0, sizes[stuck]
             rows = rows[at[rows] < sizes[rows]]
         return out, count
@@ -327,9 +344,12 @@ class Bpe:
         wide = [i for i, w in enumerate(words) if len(w) > WIDE]
         for i in wide:
             out[i] = np.array(self.exact(words[i]), "<u4").tobytes()
-        at = [i for i, w in enumerate(words) if 0 < len(w) <= WIDE]
-        if not at:
-            return out
+        order = sorted((i for i, w in enumerate(words) if 0 < len(w) <= WIDE), key=lambda i: len(words[i]))
+        for first in range(0, len(order), BLOCK):
+            self._encode_block(words, order[first : first + BLOCK], out)
+        return out
+
+    def _encode_block(self, words: list[str], at: list[int], out: list[bytes]) -> None:
         some = [words[i] for i in at]
         tokens, count = self.greedy_many(some)
         bad = count == 0
@@ -344,7 +364,6 @@ class Bpe:
         again = np.flatnonzero(bad).tolist()
         for i, x in zip(again, self.merge_many([some[i] for i in again]) if again else [], strict=True):
             out[at[i]] = x
-        return out
 
     def prefixes(self, words: list[str]) -> list:
         """``prefix_counts`` of many pre-tokens, from the first byte on: the recurrence runs over all of them, position by
@@ -548,11 +567,16 @@ class WordCodec(Caches):
             return [c for c in _WHITE_RUN.split(text) if c]
         return text.split()
 
-    def learn(self, chunk_lists: list[list[str]]) -> None:
+    def pre_tokens(self, chunk: str) -> list[str]:
+        """Pre-tokens of a chunk that may hold special tokens or white space beyond ASCII; special tokens stay whole."""
+        return [w for c in self.chunked(chunk) for w in ([c] if c in self.special else self.normal(c))]
+
+    def learn(self, chunks: set[str]) -> None:
         """Fill the caches for these chunks."""
         self.chunks.bound()
         self.words.bound()
-        missing = set().union(*chunk_lists).difference(self.chunks)
+        self.words.update(self.special)
+        missing = chunks.difference(self.chunks)
         single: dict[str, str] = {}
         ended: dict[str, tuple[str, str]] = {}
         other: dict[str, list[str]] = {}
@@ -562,10 +586,10 @@ class WordCodec(Caches):
                 if low.isalpha():
                     single[c] = c if c == low else low
                     continue
-                if low[-1] in ".," and low[:-1].isalpha():
+                if low[-1:] in ".," and low[:-1].isalpha():
                     ended[c] = (low[:-1], low[-1])
                     continue
-            other[c] = [] if c in self.special else self.normal(c)
+            other[c] = self.pre_tokens(c)
         words = set(single.values())
         words.update(w for w, _ in ended.values())
         words.update(p for _, p in ended.values())
@@ -575,15 +599,31 @@ class WordCodec(Caches):
         get = self.words.__getitem__
         self.chunks.add(single, map(get, single.values()))
         self.chunks.add(ended, (get(w) + get(p) for w, p in ended.values()))
-        self.chunks.add(other, (self.special[c] if c in self.special else b"".join(map(get, ws)) for c, ws in other.items()))
+        self.chunks.add(other, (b"".join(map(get, ws)) for ws in other.values()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as bytes."""
-        lists = [self.chunked(t) for t in texts]
+        """Ids of each text as bytes.  Arrow cuts at ASCII white space and numbers the distinct chunks, lower-cased and
+        without one full stop or comma at the end where the rest is ASCII letters, so that Python sees each once; what
+        else cuts a chunk is seen to when it is learnt."""
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        whole = coded.dictionary
+        bare = pc.ascii_rtrim(whole, ".,")
+        cut = pc.subtract(pc.binary_length(whole), pc.binary_length(bare))
+        plain = pc.and_(pc.ascii_is_alpha(bare), pc.less_equal(cut, 1))
+        bare = pc.if_else(plain, pc.ascii_lower(bare), whole).dictionary_encode()
+        end = pc.if_else(pc.and_(plain, pc.equal(cut, 1)), pc.if_else(pc.ends_with(whole, "."), 1, 2), 0)
+        chunks = bare.dictionary.to_pylist()
         with self.at_work():
-            self.learn(lists)
+            self.learn({*chunks, ".", ","})
             get = self.chunks.__getitem__
-            return [b"".join(map(get, cs)) for cs in lists]
+            ids = pa.array(map(get, chunks), pa.large_binary(), size=len(chunks))
+            ends = pa.array([b"", get("."), get(",")], pa.large_binary())
+        ids = pc.binary_join_element_wise(ids.take(bare.indices), ends.take(end), pa.scalar(b"", pa.large_binary()))
+        flat = ids.take(coded.indices)
+        places = np.frombuffer(flat.buffers()[1], np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+        at, held = places[lists.offsets.to_numpy()].tolist(), memoryview(flat.buffers()[2] or b"")
+        return [bytes(held[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         """What the library gives without a decoder: token names joined by spaces, in UTF-8."""
@@ -594,10 +634,11 @@ class WordCodec(Caches):
         """Ids of each text, and what they decode to; each distinct chunk is decoded once."""
         lists = [self.chunked(t) for t in texts]
         with self.at_work():
-            self.learn(lists)
+            distinct = set().union(*lists)
+            self.learn(distinct)
             self.decoded.bound()
             code, decode = self.chunks.__getitem__, self.decode
-            new = list(set().union(*lists).difference(self.decoded))
+            new = list(distinct.difference(self.decoded))
             self.decoded.add(new, [decode(code(c)) for c in new])
             name = self.decoded.__getitem__
             return [(b"".join(map(code, cs)), b" ".join(map(name, cs))) for cs in lists]

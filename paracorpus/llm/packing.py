@@ -28,6 +28,8 @@ CAPACITY, END_ID, OPEN = 4096, 1, 256
 TOGETHER = 64
 FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, left boolean"
 VOCABULARY = "word_bpe_49k.json"
+#: Characters of texts that are encoded together; the more, the fewer times a word is looked up.
+SLAB = 16_000_000
 
 
 class OpenBins:
@@ -99,7 +101,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
         def pieces():
             for batch in batches:
                 keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for a, b in slabs(texts):
+                for a, b in slabs(texts, SLAB):
                     for key, ids in zip(keys[a:b], codec.encode(texts[a:b]), strict=True):
                         ids += end
                         for i, at in enumerate(range(0, len(ids), 4 * capacity)):

@@ -69,6 +69,27 @@ def test_caches_are_bounded_and_dropped_when_idle(monkeypatch):
     assert not codec.chunks and not codec.words and codec.encode(["a b"]) and codec.round_trip(["a b"])
 
 
+def test_python_sees_each_word_once_however_it_is_written(monkeypatch):
+    codec, lib, seen = bpe.WordCodec(public_tokenizers.path("word_bpe_49k.json")), library("word_bpe_49k.json"), []
+    encode_words = codec.bpe.encode_words
+    monkeypatch.setattr(codec.bpe, "encode_words", lambda words: seen.append(words) or encode_words(words))
+    some = ["Qwat qwat, QWAT. qwat\tqwat", "", " ", "qwat.. ,qwat ., . , a.b É. é, İ, Σ. 1. \u0130x. K\u0130, J\u030c, \u01f0", "Ab\xa0Ab.\x1cAb, Ab\u3000", "A<|endoftext|>.A<|ENDOFTEXT|>, <|startoftext|>,", *ODD[1:]]
+    assert codec.encode(some) == [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch(some, add_special_tokens=False)]
+    assert {c for c in codec.chunks if c.lower().rstrip(".,") == "qwat"} == {"qwat", "qwat.."}
+    assert len(seen) == 1 and len(seen[0]) == len(set(seen[0]))
+    assert codec.encode([]) == [] and codec.encode([""]) == [b""]
+
+
+@pytest.mark.parametrize("block", [1, 7, 16_384])
+def test_words_of_all_lengths_in_blocks_are_merged_exactly(monkeypatch, block):
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    codec, rnd = bpe.Bpe(public_tokenizers.path("word_bpe_49k.json")), random.Random(3)
+    words = ["".join(rnd.choice("abeinorst\xc3\xa9'1") for _ in range(n)) + bpe.END for n in range(1, 40) for _ in range(8)] + [""]
+    assert codec.encode_words(words) == [np.array(codec.exact(w), "<u4").tobytes() if w else b"" for w in words]
+    keys = np.array([k for k in codec.pairs if k >= 0])
+    assert len(keys) and codec.compatible_many(keys).tolist() == [codec.exact(codec.texts[k >> 20] + codec.texts[k & 0xFFFFF]) == [k >> 20, k & 0xFFFFF] for k in keys.tolist()]
+
+
 def test_prefix_counts_of_every_prefix():
     b = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     rnd = random.Random(1)
