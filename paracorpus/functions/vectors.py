@@ -21,6 +21,13 @@ def l2_normalize(a) -> Column:
     return F.when(n == 0, F.transform(a, lambda x: x.cast("double"))).otherwise(F.transform(F.array(n), lambda m: F.transform(a, lambda x: x.cast("double") / m))[0])
 
 
+def rounded(x, places: int = 6) -> Column:
+    """Rounded to decimal places as SQL does it: what is negative, or a negative zero, and rounds to zero stays a negative zero."""
+    x = F.col(x) if isinstance(x, str) else x
+    r = F.round(x, places)
+    return F.when(r == 0, x * F.lit(0.0)).otherwise(r)
+
+
 def mean_by(df, key: str, vector: str):
     """(key, vector): mean vectors by key.  Each place of the vector is averaged on its own, combined before rows move, so
     that no group's vectors meet in one list."""

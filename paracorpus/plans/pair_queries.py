@@ -42,7 +42,7 @@ SIDES_SQL = "sides as (select case when vec_id % 2 = 0 then 'src' else 'tgt' end
 @query("select vec_id, cast(len(embedding) as bigint) as dim, round(list_sum(list_transform(embedding, lambda x: cast(x as double))), 6) as total from embeddings")
 def scan_embeddings(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", F.size("embedding").cast("long").alias("dim"), F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 6).alias("total"))
+    return e.select("vec_id", F.size("embedding").cast("long").alias("dim"), V.rounded(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))).alias("total"))
 
 
 @query("select doc_id as idx, text from documents")
@@ -73,26 +73,26 @@ def dedup_keep_first(spark, sf_dir):
 @query(f"with {SIDES_SQL}, k as ({_DEDUP}) select k.idx, round(v[1], 6) as first from k join sides on sides.idx = k.idx and sides.side = 'src' where k.side = 0")
 def join_embed(spark, sf_dir):
     d = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("idx"), "text")
-    return align.dedup_keep_first(d).join(side(spark, sf_dir, "src"), "idx").select("idx", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+    return align.dedup_keep_first(d).join(side(spark, sf_dir, "src"), "idx").select("idx", V.rounded(F.get("embedding", F.lit(0)).cast("double")).alias("first"))
 
 
 @query("with t as (select vec_id, list_transform(embedding, lambda x: 3.0 * cast(x as double)) as v from embeddings) select vec_id, list_transform(v, lambda x: round(x / sqrt(list_inner_product(v, v)), 6)) as v from t")
 def l2_norm(spark, sf_dir):
     scaled = F.transform("embedding", lambda x: x.cast("double") * 3.0)
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(V.l2_normalize(scaled), lambda x: F.round(x, 6)).alias("v"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(V.l2_normalize(scaled), lambda x: V.rounded(x)).alias("v"))
 
 
 @query("""with e as (select label, vec_id, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as pos from embeddings),
 m as (select label, pos, avg(cast(x as double)) as x from e group by label, pos) select label, list(round(x, 6) order by pos) as v from m group by label""")
 def mean_pool(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return V.mean_by(e, "label", "embedding").select("label", F.transform("embedding", lambda x: F.round(x, 6)).alias("v"))
+    return V.mean_by(e, "label", "embedding").select("label", F.transform("embedding", lambda x: V.rounded(x)).alias("v"))
 
 
 @query(f"with {SIDES_SQL} select s.idx, round(list_inner_product(s.v, t.v), 6) as score from sides s join sides t on s.idx = t.idx and s.side = 'src' and t.side = 'tgt'")
 def dot_score(spark, sf_dir):
     t = side(spark, sf_dir, "tgt").withColumnRenamed("embedding", "other")
-    return side(spark, sf_dir, "src").join(t, "idx").select("idx", F.round(V.dot(F.col("embedding"), F.col("other")), 6).alias("score"))
+    return side(spark, sf_dir, "src").join(t, "idx").select("idx", V.rounded(V.dot(F.col("embedding"), F.col("other"))).alias("score"))
 
 
 _TOP = f"""{SIDES_SQL}, d as (select s.idx, t.idx as tgt_idx, round(list_inner_product(s.v, t.v), 12) as score from sides s join sides t on s.side = 'src' and t.side = 'tgt'),
@@ -101,13 +101,13 @@ r as (select idx, tgt_idx, score, row_number() over (partition by idx order by s
 
 @query(f"with {_TOP} select idx, cast(rank as integer) as rank, tgt_idx, round(score, 6) as score from r where rank <= 3")
 def cosine_topk(spark, sf_dir):
-    return align.top_k(side(spark, sf_dir, "src"), side(spark, sf_dir, "tgt"), 3).select("idx", "rank", "tgt_idx", F.round("score", 6).alias("score"))
+    return align.top_k(side(spark, sf_dir, "src"), side(spark, sf_dir, "tgt"), 3).select("idx", "rank", "tgt_idx", V.rounded("score").alias("score"))
 
 
 @query(f"with {_TOP} select idx as src_idx, tgt_idx, round(score, 6) as score from r where rank = 1 and back = 1")
 def mutual_nn(spark, sf_dir):
     m = align.mutual_nearest(side(spark, sf_dir, "src"), side(spark, sf_dir, "tgt"))
-    return m.select("src_idx", "tgt_idx", F.round("score", 6).alias("score"))
+    return m.select("src_idx", "tgt_idx", V.rounded("score").alias("score"))
 
 
 @query(f"""with {_TOP} select count(*) as n_pairs, round(avg(case when idx = tgt_idx then 1.0 else 0.0 end), 6) as precision_at_1,
@@ -115,7 +115,7 @@ def mutual_nn(spark, sf_dir):
 def precision_at_1(spark, sf_dir):
     s, t = side(spark, sf_dir, "src"), side(spark, sf_dir, "tgt")
     best = align.top_k(s, t, 1).agg(F.count("*").alias("n_pairs"), F.round(F.avg((F.col("idx") == F.col("tgt_idx")).cast("double")), 6).alias("precision_at_1"))
-    diagonal = s.join(t.withColumnRenamed("embedding", "other"), "idx").agg(F.round(F.avg(V.dot(F.col("embedding"), F.col("other"))), 6).alias("diagonal_mean"))
+    diagonal = s.join(t.withColumnRenamed("embedding", "other"), "idx").agg(V.rounded(F.avg(V.dot(F.col("embedding"), F.col("other")))).alias("diagonal_mean"))
     return _one_row(best, diagonal)
 
 
@@ -170,7 +170,7 @@ select s.bead, round(sum(s.x * t.x), 6) as score, round(sum(s.x * t.x) / sqrt(su
 def bead_scores(spark, sf_dir):
     two = F.expr("case when vec_id % 2 = 0 then array(vec_id div 2) else array(vec_id div 2, vec_id div 2 + 1) end")
     b = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bead"), F.array(F.expr("vec_id div 2")).alias("src_idx"), two.alias("tgt_idx"))
-    return align.bead_scores(b, embeddings(spark, sf_dir)).select("bead", F.round("score", 6).alias("score"), F.round("cosine", 6).alias("cosine"))
+    return align.bead_scores(b, embeddings(spark, sf_dir)).select("bead", V.rounded("score").alias("score"), V.rounded("cosine").alias("cosine"))
 
 
 @query(f"with {BEADS_SQL} select cast(len(src_idx) as bigint) as n_src, cast(len(tgt_idx) as bigint) as n_tgt, count(*) as n, round(count(*) / sum(count(*)) over (), 6) as share from beads where len(src_idx) > 0 and len(tgt_idx) > 0 group by len(src_idx), len(tgt_idx)")
@@ -328,7 +328,7 @@ select c.criterion, round(a.alpha, 6) as alpha from (select distinct criterion f
 def krippendorff(spark, sf_dir):
     table(spark, sf_dir, "labels").createOrReplaceTempView("_rated_labels")
     ratings = spark.sql(_RATED.replace("from labels", "from _rated_labels"))
-    return evaluate.krippendorff_ordinal(ratings).select("criterion", F.round("alpha", 6).alias("alpha"))
+    return evaluate.krippendorff_ordinal(ratings).select("criterion", V.rounded("alpha").alias("alpha"))
 
 
 def _hyp(spark, sf_dir):
@@ -437,13 +437,13 @@ def _segments(spark, sf_dir):
 @query()
 def align_monotone(spark, sf_dir):
     """Rows only: a dynamic programme."""
-    return align.align(_segments(spark, sf_dir)).withColumn("score", F.round("score", 6))
+    return align.align(_segments(spark, sf_dir)).withColumn("score", V.rounded("score"))
 
 
 @query()
 def align_twopass(spark, sf_dir):
     """Rows only: a dynamic programme in a band."""
-    return align.align(_segments(spark, sf_dir), passes=2).withColumn("score", F.round("score", 6))
+    return align.align(_segments(spark, sf_dir), passes=2).withColumn("score", V.rounded("score"))
 
 
 @query()
