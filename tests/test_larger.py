@@ -20,3 +20,46 @@ def test_small_negative_numbers_round_to_negative_zeros(spark, tmp_path):
         assert {k: list(map(repr, v)) for k, v in got.items()} == {k: list(map(repr, v)) for k, v in want.items()}
     got = catalog.queries()["dot_score"](spark, str(tmp_path)).first()["score"]
     assert np.signbit(got) and got == db.execute(catalog.oracle_sql()["dot_score"]).fetchone()[1]
+
+
+def test_edit_distances_of_long_lines():
+    import random
+    import time
+
+    from paracorpus.operators.distance import by_bits, distances
+
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    some = random.Random(7)
+    word = lambda letters, n: "".join(some.choice(letters) for _ in range(n))
+    for letters in ("ab", "abcdef ", "ab\u00ff\u00fe\u00e9", "a\u6f22\U0001f600"):
+        left = [word(letters, some.randrange(70)) for _ in range(80)]
+        right = [a.replace("a", "", 2) if some.random() < 0.6 else word(letters, some.randrange(70)) for a in left]
+        want = [table(a, b) for a, b in zip(left, right, strict=True)]
+        assert distances(left, right).tolist() == want == [by_bits(a, b) for a, b in zip(left, right, strict=True)]
+    long = word("abcdefgh", 60_000)
+    began = time.time()
+    assert distances([long], [long[:100] + long[200:]]).tolist() == [100]
+    assert distances([long], [long[::-1]])[0] == by_bits(long, long[::-1])
+    assert time.time() - began < 60
+
+
+def test_error_rates_do_not_square_a_page(spark):
+    import time
+
+    from paracorpus.operators import evaluate
+
+    text = "".join(chr(97 + i * i % 23) for i in range(200_000))
+    gold = spark.createDataFrame([(0, text), (1, None), (2, "abc")], "page int, text string")
+    pages = spark.createDataFrame([(0, text.replace("ab", "b", 500)), (1, "xy"), (3, "abc")], "page int, text string")
+    began = time.time()
+    got = evaluate.cer(pages, gold, ["page"]).first()
+    assert got["chars"] == 200_000 and got["errors"] == 2 + 200_000 - len(text.replace("ab", "b", 500)) and time.time() - began < 20
+    none = evaluate.cer(pages.where("page > 5"), gold, ["page"]).first()
+    assert none["errors"] is None and none["cer"] is None
