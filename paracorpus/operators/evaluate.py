@@ -67,26 +67,68 @@ def krippendorff_ordinal(ratings: DataFrame) -> DataFrame:
     return ratings.select("criterion").distinct().join(got, "criterion", "left")
 
 
-def clipped_matches(hypothesis: list, reference: list, orders) -> list[tuple[int, int, int, int]]:
+def _items(hypothesis, reference) -> tuple[np.ndarray, int]:
+    """Numbers of the items of both sides, one behind the other, and how many different ones there are; sides are texts,
+    arrays of numbers or lists."""
+    if isinstance(hypothesis, str) and isinstance(reference, str):
+        item = np.frombuffer((hypothesis + reference).encode("utf-32-le", "surrogatepass"), np.uint32)
+        most = int(item.max(initial=0)) + 1
+        if most <= 1 << 16:  # numbered by a table
+            seen = np.zeros(most, bool)
+            seen[item] = True
+            return (np.cumsum(seen) - 1)[item], int(np.count_nonzero(seen))
+    elif isinstance(hypothesis, np.ndarray):
+        item = np.concatenate([hypothesis, reference])
+    else:
+        known: dict = {}
+        item = np.fromiter((known.setdefault(x, len(known)) for side in (hypothesis, reference) for x in side), np.int64, len(hypothesis) + len(reference))
+        return item, len(known)
+    distinct, item = np.unique(item, return_inverse=True)
+    return item, len(distinct)
+
+
+def _clipped(h: np.ndarray, r: np.ndarray) -> int:
+    """The sum over all numbers of how often they are in both: a run of equal numbers, sides in turn, in one sorted array."""
+    both = np.concatenate([h << 1, (r << 1) | 1])
+    both.sort()
+    first = np.flatnonzero(np.concatenate([[True], (both[1:] ^ both[:-1]) > 1])) if len(both) else np.zeros(0, np.int64)
+    if not len(first):
+        return 0
+    of_r = np.add.reduceat(both & 1, first)
+    return int(np.minimum(np.diff(first, append=len(both)) - of_r, of_r).sum())
+
+
+def clipped_matches(hypothesis, reference, orders) -> list[tuple[int, int, int, int]]:
     """(order, clipped matches, hypothesis and reference n-grams) of two sequences.
 
-    An n-gram is named by the rank of (the (n-1)-gram before it, its last item), so names are exact."""
-    known: dict = {}
-    item = np.fromiter((known.setdefault(x, len(known)) for side in (hypothesis, reference) for x in side), np.int64, len(hypothesis) + len(reference))
-    side = np.arange(len(item)) >= len(hypothesis)
-    name, out = np.zeros(len(item), np.int64), []
-    # element i stands for the n-gram that ends there
-    left = np.where(side, np.arange(len(item)) - len(hypothesis), np.arange(len(item))) + 1
+    An n-gram is named by the digits of its items while they fit 62 bits, then by the rank of (the (n-1)-gram before it, its
+    last item), so names are exact."""
+    item, distinct = _items(hypothesis, reference)
+    item, cut, out = item.astype(np.int64), len(hypothesis), []
+    bits = max(1, int(distinct - 1).bit_length()) if distinct else 1
+    name, held = [item[:cut], item[cut:]], bits  # element i stands for the n-gram that begins there
     for n in range(1, max(orders) + 1):
-        before = np.concatenate([[0], name[:-1]]) if n > 1 else np.zeros(len(item), np.int64)
-        distinct, name = np.unique(before * (len(known) + 1) + item, return_inverse=True)
+        if n > 1:
+            if held + bits > 62:
+                ranks = np.unique(np.concatenate(name), return_inverse=True)[1]
+                name, held = [ranks[: len(name[0])], ranks[len(name[0]) :]], max(1, len(ranks).bit_length())
+            name = [(x[:-1] << bits) | side[n - 1 :] for x, side in zip(name, (item[:cut], item[cut:]), strict=True)]
+            held += bits
         if n in orders:
-            whole = left >= n
-            h, r = (np.bincount(name[whole & (side == s)], minlength=len(distinct)) for s in (False, True))
-            out.append((n, int(np.minimum(h, r).sum()), int(h.sum()), int(r.sum())))
+            out.append((n, _clipped(*name), len(name[0]), len(name[1])))
     return out
 
 
+def _sides(hypothesis: pa.Array, reference: pa.Array):
+    """The rows of both columns: texts as they are, lists as arrays of numbers of their items."""
+    if not pa.types.is_list(hypothesis.type) or not pa.types.is_list(reference.type):
+        return ([x or "" for x in c.to_pylist()] for c in (hypothesis, reference))
+    numbers = pa.concat_arrays([hypothesis.flatten(), reference.flatten()]).dictionary_encode("encode").indices.to_numpy()
+    ends = np.cumsum(np.concatenate([c.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for c in (hypothesis, reference)]), dtype=np.int64)
+    rows = np.split(numbers, ends[:-1]) if len(ends) else []
+    return rows[: len(hypothesis)], rows[len(hypothesis) :]
+
+
 def ngram_matches(pairs: DataFrame, hypothesis, reference, orders) -> DataFrame:
     """order, matched (clipped), hyp and ref n-gram counts over the corpus.  Both sides of a pair lie in one row, so n-grams
     are counted there and only four numbers an order leave a task."""
@@ -95,8 +137,8 @@ def ngram_matches(pairs: DataFrame, hypothesis, reference, orders) -> DataFrame:
     def run(batches):
         total = {n: [0, 0, 0] for n in orders}
         for batch in batches:
-            for h, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for n, *counts in clipped_matches(h or [], r or [], orders):
+            for h, r in zip(*_sides(batch.column(0), batch.column(1)), strict=True):
+                for n, *counts in clipped_matches(h, r, orders):
                     total[n] = [x + y for x, y in zip(total[n], counts, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), *(pa.array(c, pa.int64()) for c in zip(*total.values(), strict=True))], ["order", "matched", "hyp", "ref"])
 

@@ -63,3 +63,32 @@ def test_error_rates_do_not_square_a_page(spark):
     assert got["chars"] == 200_000 and got["errors"] == 2 + 200_000 - len(text.replace("ab", "b", 500)) and time.time() - began < 20
     none = evaluate.cer(pages.where("page > 5"), gold, ["page"]).first()
     assert none["errors"] is None and none["cer"] is None
+
+
+def test_ngrams_of_texts_and_lists_are_the_same_and_quick():
+    import collections
+    import random
+    import time
+
+    import pyarrow as pa
+
+    from paracorpus.operators import evaluate
+
+    some = random.Random(3)
+
+    def counted(h, r, n):
+        a, b = (collections.Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1)) for x in (h, r))
+        return n, sum((a & b).values()), a.total(), b.total()
+
+    for letters in ("ab", "a漢\U0001f600b", "".join(map(chr, range(100, 3000)))):
+        h, r = ("".join(some.choice(letters) for _ in range(some.randrange(150))) for _ in range(2))
+        for a, b in ((h, r), (list(h), list(r)), (h, h[3:] + "ab"), ("", r), (h, "")):
+            assert evaluate.clipped_matches(a, b, range(1, 9)) == [counted(a, b, n) for n in range(1, 9)]
+    kind = pa.list_(pa.string())
+    left, right = pa.array([["z"], ["a", "b", None, "a"], None, []], kind).slice(1), pa.array([["a", None], ["q"], None], kind)
+    got = [evaluate.clipped_matches(h, r, (1, 2)) for h, r in zip(*evaluate._sides(left, right), strict=True)]
+    assert got == [[counted(h or [], r or [], n) for n in (1, 2)] for h, r in zip(left.to_pylist(), right.to_pylist(), strict=True)]
+    text = "".join(some.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000))
+    began = time.time()
+    evaluate.clipped_matches(text, text[1:], range(1, 7))
+    assert time.time() - began < 0.6
