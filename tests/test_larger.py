@@ -92,3 +92,22 @@ def test_ngrams_of_texts_and_lists_are_the_same_and_quick():
     began = time.time()
     evaluate.clipped_matches(text, text[1:], range(1, 7))
     assert time.time() - began < 0.6
+
+
+def test_best_places_without_a_full_order():
+    import time
+
+    from paracorpus.operators import align
+
+    some = np.random.default_rng(5)
+    for d in (np.round(some.standard_normal((300, 40)), 1), np.zeros((3, 2)), some.standard_normal((2, 1)), np.ones((1, 5)) + 1e-14 * np.arange(5), np.array([[np.nan, 1, -np.inf, 2.0]])):
+        for k in (1, 3, 11):
+            place, score = align._best(d, k)
+            want = np.argsort(-np.round(d, 12), axis=1, kind="stable")[:, :k]
+            assert (place == want).all() and np.array_equal(score, np.take_along_axis(d, want, 1), equal_nan=True)
+    d = some.standard_normal((2048, 2048))
+    began = time.time()
+    np.argsort(-np.round(d, 12), axis=1, kind="stable")
+    full, began = time.time() - began, time.time()
+    align._best(d, 1)
+    assert time.time() - began < full / 2
